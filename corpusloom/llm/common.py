@@ -29,7 +29,7 @@ def expand_pairs(pairs: DataFrame, members: DataFrame, left: str, right: str, gr
 
     ``members`` has (``group``, ``key``).  Both joins are equality joins, so Spark splits a hot group itself.
     """
-    a = members.select(F.col(group).alias(left), F.col(key).alias("a"))
-    b = members.select(F.col(group).alias(right), F.col(key).alias("b"))
+    a = members.select(F.col(group).alias(left), F.col(key).alias("__a"))
+    b = members.select(F.col(group).alias(right), F.col(key).alias("__b"))
     both = pairs.select(left, right).join(a, left).join(b, right)
-    return both.select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
+    return both.select(F.least("__a", "__b").alias("key_a"), F.greatest("__a", "__b").alias("key_b"))

@@ -107,8 +107,8 @@ def form_of(text: str | None) -> str | None:
 
 
 def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    rules = spark.createDataFrame(character_rules(), "piece string, becomes array<struct<ch string, mark int>>")
-    composed = spark.createDataFrame(compositions(), "letter string, composed string")
+    rules = spark.createDataFrame(character_rules(), "__piece string, __becomes array<struct<ch string, mark int>>")
+    composed = spark.createDataFrame(compositions(), "__letter string, __composed string")
     return F.broadcast(rules), F.broadcast(composed)
 
 
@@ -124,23 +124,26 @@ def one_form(df: DataFrame, column: str, *keys: str) -> DataFrame:
     rules, composed = _tables(spark)
     special = F.col(column).rlike(SPECIAL)
     others = df.where(F.col(column).isNull() | ~special)
-    pieces = df.where(special).select(*keys, F.posexplode(F.regexp_extract_all(column, F.lit(PIECES), F.lit(0))).alias("at", "piece"))
-    itself = F.array(F.struct(F.col("piece").alias("ch"), F.lit(0).alias("mark")))
-    points = pieces.join(rules, "piece", "left").select(
-        *keys, "at", F.posexplode_outer(F.coalesce("becomes", itself)).alias("sub", "x")
+    pieces = df.where(special).select(
+        *keys, F.posexplode(F.regexp_extract_all(column, F.lit(PIECES), F.lit(0))).alias("__at", "__piece")
     )
-    in_text = Window.partitionBy(*keys).orderBy("at", "sub")
-    starts = F.when(F.col("x.mark") == 0, 1).otherwise(0)
+    itself = F.array(F.struct(F.col("__piece").alias("ch"), F.lit(0).alias("mark")))
+    points = pieces.join(rules, "__piece", "left").select(
+        *keys, "__at", F.posexplode_outer(F.coalesce("__becomes", itself)).alias("__sub", "__x")
+    )
+    in_text = Window.partitionBy(*keys).orderBy("__at", "__sub")
+    starts = F.when(F.col("__x.mark") == 0, 1).otherwise(0)
+    mark = F.when(F.col("__x").isNotNull(), F.struct("__x.mark", "__at", "__sub", "__x.ch"))
     letters = (
-        points.withColumn("letter_no", F.sum(starts).over(in_text))
-        .groupBy(*keys, "letter_no")
-        .agg(F.array_sort(F.collect_list(F.when(F.col("x").isNotNull(), F.struct("x.mark", "at", "sub", "x.ch")))).alias("marks"))
-        .select(*keys, "letter_no", F.array_join(F.col("marks.ch"), "").alias("letter"))
-        .join(composed, "letter", "left")
+        points.withColumn("__no", F.sum(starts).over(in_text))
+        .groupBy(*keys, "__no")
+        .agg(F.array_sort(F.collect_list(mark)).alias("__marks"))
+        .select(*keys, "__no", F.array_join(F.col("__marks.ch"), "").alias("__letter"))
+        .join(composed, "__letter", "left")
     )
     whole = letters.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("letter_no", F.coalesce("composed", "letter").alias("text")))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("__no", F.coalesce("__composed", "__letter").alias("text")))).alias("__parts")
     )
-    whole = whole.select(*keys, F.array_join(F.col("parts.text"), "").alias("__form"))
+    whole = whole.select(*keys, F.array_join(F.col("__parts.text"), "").alias("__form"))
     changed = df.where(special).join(whole, list(keys)).withColumn(column, F.col("__form")).select(*df.columns)
     return others.select(*df.columns).unionByName(changed)
