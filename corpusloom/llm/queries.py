@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import copies, distinctive, pieces
+from corpusloom.llm import copies, distinctive, pieces, truncation
 from corpusloom.llm.common import joined_text, latest
 from corpusloom.llm.forms import one_form
 from corpusloom.plans import Registry
@@ -98,3 +98,27 @@ def p5_found(spark, folder):
 def p5_scores(spark, folder):
     """Score of every word of every unit."""
     return _scores(spark, folder)
+
+
+def _documents(spark, folder, *columns):
+    return load(spark, folder, "documents", "doc_id", "source", "text", *columns)
+
+
+@REGISTRY.add("p8_found")
+def p8_found(spark, folder):
+    """Documents whose text was cut off."""
+    return truncation.truncation_scores(_documents(spark, folder)).where("score > 0").select("doc_id")
+
+
+@REGISTRY.add("p8_scores")
+def p8_scores(spark, folder):
+    """Every document with its limit, the posterior there, and the log odds of its ending."""
+    return truncation.truncation_scores(_documents(spark, folder))
+
+
+@REGISTRY.add("p8_rates")
+def p8_rates(spark, folder):
+    """How many texts each source has, and how many and which share of them were cut."""
+    scores = truncation.truncation_scores(_documents(spark, folder))
+    cut = F.count_if(F.col("score") > 0)
+    return scores.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), cut.alias("truncated"), (cut / F.count(F.lit(1))).alias("rate"))
