@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusloom.scratch import cut, fixed
 
 WORDS = 8  # 64-bit words of a bitmap
-LEAF = 16  # records below which a root is one leaf
+LEAF = 1024  # records up to which a root is one leaf
 BITS = [f"b{i}" for i in range(WORDS)]
 
 
@@ -94,20 +94,16 @@ def _node(*key: str) -> list:
 def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap | Edits) -> DataFrame:
     """Distinct candidate pairs (a, b) with a < b of records that share a root and may satisfy ``test``.
 
-    Both sides have (root, item, size, bits, low, b0...): a record once per root, its size, its number of bits, its least
-    token hash and its bitmap.  ``right`` is None for a tree walked with itself.
+    Both sides have (root, n, item, size, bits, low, b0...): a record once per root, at least the number of records of that
+    root, the record's size, its number of bits, its least token hash and its bitmap.  ``right`` is None for a tree walked
+    with itself.
     """
     own = right is None
     sides = [left] if own else [left, right]
-    count = None
-    for side in sides:
-        n = side.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-        count = n if count is None else count.unionByName(n).groupBy("root").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("k")).where("k = 2").drop("k")
-    count = count.where("n > 1") if own else count
     attrs = ["item", "least", "most", "bits", *BITS]
 
     def placed(side: DataFrame) -> DataFrame:
-        rows = side.join(count, "root").withColumns({"least": F.col("size"), "most": F.col("size")})
+        rows = side.withColumns({"least": F.col("size"), "most": F.col("size")})
         slots = F.ceil(F.col("n") / LEAF)
         return rows.select("root", "n", *attrs, test.band(F.col("size")).alias("band"), F.pmod(F.col("low"), slots).alias("slot"))
 
@@ -173,8 +169,9 @@ def similar_sets(sets: DataFrame, least: float) -> DataFrame:
     records = records.select(
         "item", "size", "low", *BITS, (bits + F.col("size") - F.size("ranked")).alias("bits"), F.slice("ranked", F.lit(1), F.col("prefix")).alias("roots")
     )
-    forest = cut(records.select(F.explode("roots.token").alias("root"), "item", "size", "bits", "low", *BITS), "forest")
-    candidates = dual_traversal(forest, None, SetOverlap(least))
+    records = cut(records, "records")
+    forest = records.select(F.explode("roots").alias("r"), "item", "size", "bits", "low", *BITS).select("r.token", "r.df", "item", "size", "bits", "low", *BITS)
+    candidates = dual_traversal(forest.withColumnsRenamed({"token": "root", "df": "n"}), None, SetOverlap(least))
     a = sets.select(F.col("item").alias("a"), F.col("tokens").alias("tokens_a"))
     b = sets.select(F.col("item").alias("b"), F.col("tokens").alias("tokens_b"))
     both = candidates.join(a, "a").join(b, "b").withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -230,7 +227,10 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
 
     roots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), probed))
     probe = texts.select("item", n.alias("size"), F.explode(F.array_distinct(roots)).alias("root"))
-    candidates = dual_traversal(probe.join(marked, "item"), index.join(marked, "item"), Edits(edits))
+    count = index.groupBy("root").agg(F.count(F.lit(1)).alias("i")).join(probe.groupBy("root").agg(F.count(F.lit(1)).alias("p")), "root")
+    count = count.select("root", F.greatest("i", "p").alias("n"))
+    marked = cut(marked, "marked")
+    candidates = dual_traversal(probe.join(count, "root").join(marked, "item"), index.join(count, "root").join(marked, "item"), Edits(edits))
     a = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
     both = candidates.join(a, "a").join(b, "b")
