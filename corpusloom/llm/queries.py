@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import copies, distinctive, pieces, truncation
+from corpusloom.llm import copies, distinctive, mixing, packing, pieces, truncation
 from corpusloom.llm.common import joined_text, latest
 from corpusloom.llm.forms import one_form
 from corpusloom.plans import Registry
@@ -122,3 +122,28 @@ def p8_rates(spark, folder):
     scores = truncation.truncation_scores(_documents(spark, folder))
     cut = F.count_if(F.col("score") > 0)
     return scores.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), cut.alias("truncated"), (cut / F.count(F.lit(1))).alias("rate"))
+
+
+@REGISTRY.add("p6_containers")
+def p6_containers(spark, folder):
+    """The container of every document, or of its parts, for each capacity."""
+    return packing.pack(load(spark, folder, "documents", "doc_id", "text"), load(spark, folder, "container_spec"))
+
+
+@REGISTRY.add("p6_fill")
+def p6_fill(spark, folder):
+    """How full the containers are."""
+    return packing.fill_rates(p6_containers(spark, folder))
+
+
+@REGISTRY.add("p7_mix")
+def p7_mix(spark, folder):
+    """Every use of every document in each mix."""
+    sizes = mixing.measured(_documents(spark, folder))
+    return mixing.mix(sizes, mixing.repetition_rates(sizes, load(spark, folder, "mix_target")))
+
+
+@REGISTRY.add("p7_shares")
+def p7_shares(spark, folder):
+    """The shares that each mix reaches."""
+    return mixing.shares(mixing.measured(_documents(spark, folder)), load(spark, folder, "mix_target"))
