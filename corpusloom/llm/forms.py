@@ -16,6 +16,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.scratch import cut
+
 # Letters of other scripts that cannot be told from a Latin letter.
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ")) | dict(zip("ονϲϳ", "ovcj"))
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХҮԌԚԜӀ", "ABESIJKMHOPCTXYGQWI")) | dict(zip("аеосрухѕіјһԁԛԝӏү", "aeocpyxsijhdqwly"))
@@ -106,9 +108,18 @@ def form_of(text: str | None) -> str | None:
     return "".join(table.get(c, c) for c in ordered)
 
 
+_WRITTEN: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+
 def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    rules = spark.createDataFrame(character_rules(), "__piece string, __becomes array<struct<ch string, mark int>>")
-    composed = spark.createDataFrame(compositions(), "__letter string, __composed string")
+    """Both tables, written once per session so that plans hold a file scan instead of their rows."""
+    session = f"{spark.sparkContext.applicationId} {id(spark)}"
+    if session not in _WRITTEN:
+        rules = spark.createDataFrame(character_rules(), "__piece string, __becomes array<struct<ch string, mark int>>")
+        composed = spark.createDataFrame(compositions(), "__letter string, __composed string")
+        _WRITTEN.clear()
+        _WRITTEN[session] = cut(rules.coalesce(1), "characters"), cut(composed.coalesce(1), "letters")
+    rules, composed = _WRITTEN[session]
     return F.broadcast(rules), F.broadcast(composed)
 
 

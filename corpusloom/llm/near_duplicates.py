@@ -91,25 +91,36 @@ def _node(*key: str) -> list:
     return [F.min("least").alias("least"), F.max("most").alias("most"), F.min("bits").alias("bits"), *[F.bit_or(b).alias(b) for b in BITS]]
 
 
+def crowded(*sides: DataFrame) -> DataFrame | None:
+    """(root, n) of the roots of more records than a leaf holds on some side, or None; counted, before anything is planned."""
+    counts = [s.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LEAF) for s in sides]
+    both = counts[0]
+    for c in counts[1:]:
+        both = both.unionByName(c).groupBy("root").agg(F.max("n").alias("n"))
+    both = cut(both, "crowded")
+    return None if both.isEmpty() else both
+
+
 def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap | Edits) -> DataFrame:
     """Distinct candidate pairs (a, b) with a < b of records that share a root and may satisfy ``test``.
 
-    Both sides have (root, n, item, size, bits, low, b0...): a record once per root, at least the number of records of that
-    root, the record's size, its number of bits, its least token hash and its bitmap.  ``right`` is None for a tree walked
-    with itself.
+    Both sides have (root, item, size, bits, low, b0...): a record once per root, its size, its number of bits, its least
+    token hash and its bitmap.  ``right`` is None for a tree walked with itself.  Joins of records are merge joins: what is
+    exploded here is larger than the files behind it, by whose size Spark would choose.
     """
     own = right is None
     sides = [left] if own else [left, right]
     attrs = ["item", "least", "most", "bits", *BITS]
 
+    sides = [s.withColumns({"least": F.col("size"), "most": F.col("size")}) for s in sides]
+    many = crowded(*sides)
+
     def placed(side: DataFrame) -> DataFrame:
-        rows = side.withColumns({"least": F.col("size"), "most": F.col("size")})
+        rows = side.join(many, "root")
         slots = F.ceil(F.col("n") / LEAF)
         return rows.select("root", "n", *attrs, test.band(F.col("size")).alias("band"), F.pmod(F.col("low"), slots).alias("slot"))
 
-    trees = [placed(s) for s in sides]
-    small = [t.where(F.col("n") <= LEAF).select("root", *attrs) for t in trees]
-    large = [t.where(F.col("n") > LEAF).select("root", "band", "slot", *attrs) for t in trees]
+    small = [(s if many is None else s.join(many, "root", "left_anti")).select("root", *attrs) for s in sides]
     pick = lambda x: (x[0], x[0] if own else x[1])
     order = (F.col("l.item") < F.col("r.item")) if own else (F.col("l.item") != F.col("r.item"))
 
@@ -117,12 +128,16 @@ def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap |
         same = extra & test.possible()
         for x, y in on:
             same = (F.col(f"l.{x}") == F.col(f"r.{y}")) & same
-        return a.alias("l").join(b.alias("r"), same)
+        return a.alias("l").join(b.hint("merge").alias("r"), same)
 
     a, b = pick(small)
     found = joined(a, b, [("root", "root")], order).select(F.col("l.item").alias("a"), F.col("r.item").alias("b"))
 
+    distinct = lambda x: x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if many is None:
+        return distinct(found)
     # roots of many records: bands, then nodes, then records
+    large = [placed(s).select("root", "band", "slot", *attrs) for s in sides]
     a, b = pick([t.groupBy("root", "band").agg(*_node()) for t in large])
     first = F.col("l.band") <= F.col("r.band") if own else F.lit(True)
     bands = joined(a, b, [("root", "root")], first).select(
@@ -130,17 +145,17 @@ def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap |
     )
     a, b = pick([t.groupBy("root", "band", "slot").agg(*_node()) for t in large])
     first = ((F.col("l.band_a") < F.col("l.band_b")) | (F.col("l.slot") <= F.col("r.slot"))) if own else F.lit(True)
-    step = bands.join(a.withColumnRenamed("band", "band_a"), ["root", "band_a"])
+    step = bands.join(a.hint("merge").withColumnRenamed("band", "band_a"), ["root", "band_a"])
     nodes = joined(step, b, [("root", "root"), ("band_b", "band")], first).select(
         F.col("l.root").alias("root"), "band_a", "band_b", F.col("l.slot").alias("slot_a"), F.col("r.slot").alias("slot_b")
     )
     a, b = pick(large)
-    step = nodes.join(a.withColumnsRenamed({"band": "band_a", "slot": "slot_a"}), ["root", "band_a", "slot_a"])
+    step = nodes.join(a.hint("merge").withColumnsRenamed({"band": "band_a", "slot": "slot_a"}), ["root", "band_a", "slot_a"])
     one_node = (F.col("l.band_a") == F.col("l.band_b")) & (F.col("l.slot_a") == F.col("l.slot_b"))
     first = (order | ~one_node) if own else order
     pairs = joined(step, b, [("root", "root"), ("band_b", "band"), ("slot_b", "slot")], first)
     found = found.unionByName(pairs.select(F.col("l.item").alias("a"), F.col("r.item").alias("b")))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return distinct(found)
 
 
 def similar_sets(sets: DataFrame, least: float) -> DataFrame:
@@ -167,11 +182,11 @@ def similar_sets(sets: DataFrame, least: float) -> DataFrame:
         bits = F.bit_count(b) if bits is None else bits + F.bit_count(b)
     # tokens outside ``ranked`` are shared with nobody: the bitmap, its count and the size may leave them out of the overlap
     records = records.select(
-        "item", "size", "low", *BITS, (bits + F.col("size") - F.size("ranked")).alias("bits"), F.slice("ranked", F.lit(1), F.col("prefix")).alias("roots")
+        "item", "size", "low", *BITS, (bits + F.col("size") - F.size("ranked")).alias("bits"), F.slice("ranked.token", F.lit(1), F.col("prefix")).alias("roots")
     )
     records = cut(records, "records")
-    forest = records.select(F.explode("roots").alias("r"), "item", "size", "bits", "low", *BITS).select("r.token", "r.df", "item", "size", "bits", "low", *BITS)
-    candidates = dual_traversal(forest.withColumnsRenamed({"token": "root", "df": "n"}), None, SetOverlap(least))
+    forest = records.select(F.explode("roots").alias("root"), "item", "size", "bits", "low", *BITS)
+    candidates = dual_traversal(forest, None, SetOverlap(least))
     a = sets.select(F.col("item").alias("a"), F.col("tokens").alias("tokens_a"))
     b = sets.select(F.col("item").alias("b"), F.col("tokens").alias("tokens_b"))
     both = candidates.join(a, "a").join(b, "b").withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -227,10 +242,8 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
 
     roots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), probed))
     probe = texts.select("item", n.alias("size"), F.explode(F.array_distinct(roots)).alias("root"))
-    count = index.groupBy("root").agg(F.count(F.lit(1)).alias("i")).join(probe.groupBy("root").agg(F.count(F.lit(1)).alias("p")), "root")
-    count = count.select("root", F.greatest("i", "p").alias("n"))
-    marked = cut(marked, "marked")
-    candidates = dual_traversal(probe.join(count, "root").join(marked, "item"), index.join(count, "root").join(marked, "item"), Edits(edits))
+    marked = cut(marked, "marked").hint("merge")
+    candidates = dual_traversal(cut(probe, "probe").join(marked, "item"), cut(index, "index").join(marked, "item"), Edits(edits))
     a = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
     both = candidates.join(a, "a").join(b, "b")
