@@ -22,7 +22,8 @@ from corpusloom.scratch import cut, fixed
 MARK = r"(?:\s*(?:\[(?:\.{3}|…)\]|\((?:\.{3}|…)\)|\.{3}|…|\x{FFFD}+))+\s*$"
 CLOSED = r"[.!?][\"'”’»)\]]*$"
 ABBREVIATION = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|e|i|no|nos|amdt|fig|sec|para|vol|mr|mrs|dr|st|art|cf|p|pp)\.$"
-BETWEEN = r"(?<=[.!?][\"'”’»)\]]{0,2})\s+"
+BETWEEN = r"\s+(?<=[.!?][\"'”’»)\]]{0,2}\s{1,8})"
+BLANKS = " \t\n\r\f\v\u00a0"
 LIST = r"^\s*[-*•]\s+"
 LABEL = r"^\s*(?:\(?[0-9A-Za-z]{1,4}[.)]\s+|#+\s+)+"
 SURE, LIKELY = 12.0, 7.0
@@ -42,16 +43,16 @@ def _content(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(line, LIST, ""), LABEL, "")
 
 
-def _size(words: Column) -> Column:
-    """Number of words, in steps of a half of the next power of two."""
-    return F.floor(2 * F.log2(F.size(words).cast("double"))).cast("string")
+def _size(sentence: Column) -> Column:
+    """Length in characters, in steps of a half of the next power of two."""
+    return F.floor(2 * F.log2(1.0 + F.length(sentence))).cast("string")
 
 
 def line_facts(texts: DataFrame) -> DataFrame:
     """(fact, key, yes, no): what all lines before the last of all rows (text) say about lines.
 
     ``start1``, ``start2``: sentences with this kind of line and first one or two words that end open / closed; ``size``: the
-    same by number of words; ``end1``, ``end2``: this word or pair of words at the end of / inside an open line; ``number``: numbers after this word that go on behind a point /
+    same by length; ``end1``, ``end2``: this word or pair of words at the end of / inside an open line; ``number``: numbers after this word that go on behind a point /
     that end there.
     """
     lines = F.split("text", "\n")
@@ -64,12 +65,12 @@ def line_facts(texts: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<fact:string,key:string,yes:int>>")
     opened = lambda i: ~F.col("closed") & (i == F.size("sentences") - 1)
     first = lambda n: F.transform("sentences", lambda x, i: fact(f"start{n}", F.concat_ws(" ", "kind", F.substring_index(F.ltrim(x), " ", n)), opened(i)))
-    sizes = F.transform("sentences", lambda x, i: fact("size", F.concat_ws(" ", "kind", _size(_words(x))), opened(i)))
+    sizes = F.transform("sentences", lambda x, i: fact("size", F.concat_ws(" ", "kind", _size(x)), opened(i)))
     words = _words(F.element_at("sentences", -1))
     end1 = F.transform(words, lambda w, i: fact("end1", F.lower(w), i == F.size(words) - 1))
     end2 = F.transform(words, lambda w, i: fact("end2", F.lower(F.concat_ws(" ", F.get(words, i - 1), w)), i == F.size(words) - 1))
     ends = F.when(F.col("closed"), none).otherwise(F.concat(end1, end2))
-    numbers = F.regexp_extract_all("line", F.lit(r"\S+ \d[\d,]*\.(?:\d|\s|$)"), F.lit(0))
+    numbers = F.regexp_extract_all("line", F.lit(r"(?<!\S)\S++ \d[\d,]*+\.(?:\d|\s|$)"), F.lit(0))
     numbers = F.transform(numbers, lambda m: fact("number", F.lower(F.split_part(m, F.lit(" "), F.lit(1))), m.rlike(r"\d$")))
     return (
         rows.select(F.explode(F.concat(first(1), first(2), sizes, ends, numbers)).alias("f"))
@@ -81,7 +82,7 @@ def line_facts(texts: DataFrame) -> DataFrame:
 def endings(documents: DataFrame) -> DataFrame:
     """(doc_id, named, source, chars, bytes and features of the last line) of rows (doc_id, source, text); null is as empty."""
     text = F.coalesce("text", F.lit(""))
-    body = F.regexp_replace(F.rtrim(text), r"\s+$", "")
+    body = F.rtrim(text, F.lit(BLANKS))
     rows = documents.select(
         "doc_id", F.col("source").alias("named"), F.coalesce("source", F.lit("")).alias("source"),
         F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), body.alias("body"),
@@ -95,6 +96,7 @@ def endings(documents: DataFrame) -> DataFrame:
     pipes = lambda x: F.length(F.regexp_replace(x, r"[^|]", ""))
     sentence = F.element_at(F.split(_content(line), BETWEEN), -1)
     words = _words(sentence)
+    labelled = line.rlike(r"^\p{L}[\p{L} ]{1,24}: \S") & (F.length("line") < 200)
     return rows.select(
         "doc_id", "named", "source", "chars", "bytes", "marked",
         (F.length("line") == 0).alias("empty"),
@@ -104,11 +106,11 @@ def endings(documents: DataFrame) -> DataFrame:
         F.when(line.rlike(r"^\s*\|"), line.rlike(r"\|\s*$") & (~F.col("before").rlike(r"^\s*\|") | (pipes(F.col("before")) == pipes(line)))).alias("row_whole"),
         (line.rlike(r"^\s*(?:\[[^\[\]]*\]|\([^()]{5,}\))$") | line.rlike(r"\[[^\[\]]*\]$")).alias("bracketed"),
         *[F.concat_ws(" ", _kind(line), F.substring_index(F.ltrim(sentence), " ", n)).alias(f"start{n}") for n in (1, 2)],
-        F.concat_ws(" ", _kind(line), _size(words)).alias("size"),
+        F.concat_ws(" ", _kind(line), _size(sentence)).alias("size"),
         F.lower(F.get(words, F.size(words) - 1)).alias("end1"),
         F.lower(F.concat_ws(" ", F.get(words, F.size(words) - 2), F.get(words, F.size(words) - 1))).alias("end2"),
-        F.when(line.rlike(r"^\p{L}[\p{L} ]{1,24}: \S"), F.split_part("line", F.lit(":"), F.lit(1))).alias("label"),
-        F.regexp_replace("line", r"\d+", "9").alias("shape"),
+        F.when(labelled, F.split_part("line", F.lit(":"), F.lit(1))).alias("label"),
+        F.when(labelled, F.regexp_replace("line", r"\d+", "9")).alias("shape"),
         F.lower(F.regexp_extract("line", r"(\S+) \d[\d,]*\.$", 1)).alias("number"),
     )
 
