@@ -26,22 +26,22 @@ def weights(texts: DataFrame, key: str, records: int, word: str = "[a-z][a-z]+")
 def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25) -> DataFrame:
     """(src, dst, same_group, rank, score): for each query record the ``k`` most similar of its own group and of the others.
 
-    ``queries`` is a condition on ``key`` that picks the query records; all records are searched.  Candidates must share one
-    of a query's weightiest tokens: its remaining tokens have together a length below ``floor``, so a record that shares only
-    those cannot reach it.  Scores are full cosines, rounded to 6 digits; ties go to the least key.  Nothing is capped.
+    ``queries`` is a condition on ``key`` that picks the query records; all records are searched.  First only the weightiest
+    tokens of a query meet; what the others can add is at most their length, so a record whose part and that length are below
+    ``floor`` together cannot reach it.  The rest get their full cosine, rounded to 6 digits; ties go to the least key.
+    Nothing is capped.
     """
     all_ = cut(weights(texts, key, records), "weights")
-    asked = all_.where(queries)
-    # the weightiest tokens come first; what is left behind them has a length below the floor
-    behind = Window.partitionBy(key).orderBy(F.col("w"), F.col("token").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    lead = asked.withColumn("left", F.sqrt(F.sum(F.col("w") * F.col("w")).over(behind))).where(F.col("left") >= floor - 1e-9)
-    pairs = lead.select(F.col(key).alias("src"), "token").join(all_.select(F.col(key).alias("dst"), "token"), "token").where("src <> dst").select("src", "dst").distinct()
-    a = asked.select(F.col(key).alias("src"), "token", F.col("w").alias("wa"))
-    b = all_.select(F.col(key).alias("dst"), "token", F.col("w").alias("wb"))
-    held = a.groupBy("src").agg(F.map_from_entries(F.collect_list(F.struct("token", "wa"))).alias("query"))
-    rows = b.groupBy("dst").agg(F.collect_list(F.struct("token", "wb")).alias("words"))
-    dot = F.aggregate("words", F.lit(0.0), lambda acc, x: acc + F.coalesce(F.try_element_at("query", x["token"]), F.lit(0.0)) * x["wb"])
-    scored = pairs.join(held, "src").join(rows, "dst").select("src", "dst", F.round(dot, 6).alias("score")).where(F.col("score") >= floor)
+    asked = all_.where(queries).withColumnsRenamed({key: "src", "w": "wa"})
+    rows = all_.withColumnsRenamed({key: "dst", "w": "wb"})
+    # the weightiest tokens lead; those behind them have together a length below half of the floor
+    behind = Window.partitionBy("src").orderBy("wa", F.col("token").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    lead = asked.withColumn("left", F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(behind))).where(F.col("left") >= floor / 2)
+    rest = lead.groupBy("src").agg(F.sqrt(F.greatest(1 - F.sum(F.col("wa") * F.col("wa")), F.lit(0.0))).alias("rest"))
+    part = lead.select("src", "token", "wa").join(rows, "token").where("src <> dst").groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"))
+    pairs = part.join(rest, "src").where(F.col("part") + F.col("rest") >= floor - 1e-6).select("src", "dst")
+    dots = pairs.join(asked.select("src", "token", "wa"), "src").join(rows, ["dst", "token"]).groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+    scored = dots.select("src", "dst", F.round("dot", 6).alias("score")).where(F.col("score") >= floor)
     names = texts.select(key, group)
     scored = scored.join(names.select(F.col(key).alias("src"), F.col(group).alias("__a")), "src").join(names.select(F.col(key).alias("dst"), F.col(group).alias("__b")), "dst")
     scored = scored.withColumn("same_group", F.col("__a").eqNullSafe(F.col("__b")))
@@ -59,7 +59,6 @@ def nearest_vectors(vectors: DataFrame, key: str, vector: str, queries, k: int =
     import pandas as pd
 
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and exists(v, x -> x <> 0)")
-    asked = rows.where(queries).withColumn("block", F.floor(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) * 0)).groupBy("block")
     count = rows.where(queries).count()
     blocks = max(1, -(-count // block))
     asked = rows.where(queries).groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))

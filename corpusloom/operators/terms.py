@@ -15,15 +15,20 @@ def variants(term: Column) -> Column:
     return F.array_distinct(F.filter(forms, lambda x: x.isNotNull() & (F.length(x) > 0)))
 
 
-def word_runs(text: Column, most: int) -> Column:
-    """All runs of 1 to ``most`` words (letters, digits, hyphens inside) of a text, as it is written, blanks folded."""
-    words = F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9]+(?:[-'/][A-Za-z0-9]+)*"), F.lit(0))
+WORDS = r"[A-Za-z0-9]+(?:[-'/][A-Za-z0-9]+)*"
+
+
+def word_runs(words: Column, most: int) -> Column:
+    """All runs of 1 to ``most`` words of an array column, repeats kept.
+
+    ``words`` must be a plain column: an expression would be evaluated again for every run.
+    """
 
     def runs(n: int) -> Column:
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
 
-    return F.array_distinct(F.concat(*[runs(n) for n in range(1, most + 1)]))
+    return F.concat(*[runs(n) for n in range(1, most + 1)])
 
 
 def matched_terms(texts: DataFrame, key: str, terms: DataFrame, term_key: str, most: int = 4) -> DataFrame:
@@ -38,7 +43,8 @@ def matched_terms(texts: DataFrame, key: str, terms: DataFrame, term_key: str, m
     exact = F.col("form").rlike("^[A-Z0-9]{1,5}s?$")
     folded = F.regexp_replace(F.trim("form"), r"[^A-Za-z0-9'/-]+", " ")
     forms = forms.select(term_key, exact.alias("exact"), F.when(exact, F.col("form")).otherwise(F.lower(folded)).alias("run")).distinct()
-    runs = texts.where("text is not null").select(key, F.explode(word_runs(F.col("text"), most)).alias("run"))
+    words = texts.where("text is not null").select(key, F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)).alias("words"))
+    runs = words.select(key, F.explode(word_runs(F.col("words"), most)).alias("run"))
     both = runs.select(key, F.explode(F.array(F.struct(F.lit(True).alias("exact"), F.col("run")), F.struct(F.lit(False).alias("exact"), F.lower("run").alias("run")))).alias("r"))
     both = both.select(key, "r.exact", "r.run").distinct()
     return both.join(forms, ["exact", "run"]).select(key, term_key).distinct()
