@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +39,8 @@ def canonical_hash(value: Column, kind: T.DataType) -> Column:
 
 def canonical_hash_json(text: Column) -> Column:
     """The same for JSON text of any shape (a Pandas UDF, for records without a schema); null for null or broken JSON."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def hashed(texts: pd.Series) -> pd.Series:
-        import hashlib
-
         def bare(x):
             if isinstance(x, dict):
                 return {k: bare(v) for k, v in x.items() if k not in PROVENANCE}

@@ -69,7 +69,7 @@ def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 def notes(spark: SparkSession, path: str) -> DataFrame:
     """(stem, folders, text) of all notes below ``path``."""
-    rows = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     name = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     parts = F.split(name, "/")
     return rows.select(
