@@ -4,7 +4,7 @@ A text is exploded to positioned pieces: a run of plain ASCII characters, which
 other code point (and the plain character before it, which a combining mark may follow) as a piece of its own.  Pieces are
 joined with a broadcast table of decompositions and look-alikes, marks are ordered by combining class within their letter,
 letters are recomposed by a second broadcast table, and the text is put together again.  The tables are rules over the fixed
-Unicode repertoire (some 13,000 rows), so their size has a bound that does not depend on the data.
+Unicode repertoire (some 17,000 rows), so their size has a bound that does not depend on the data.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ def compositions() -> list[tuple[str, str]]:
     for ch, parts in character_rules():
         sequence = "".join(x for x, _ in parts)
         composed = unicodedata.normalize("NFC", sequence)
-        if len(sequence) > 1 and len(composed) == 1:
+        if len(composed) == 1 and all(mark for _, mark in parts[1:]) and len(parts) > 1:
             found[sequence] = composed
     return sorted(found.items())
 
@@ -128,7 +128,8 @@ def one_form(df: DataFrame, column: str, *keys: str) -> DataFrame:
 
     Null stays null, a text of characters that print nothing becomes empty, an empty text stays empty.  Case, accents and
     ASCII characters (but for controls) are kept.  Marks at the start of a text are ordered among themselves.  A letter with
-    marks for which Unicode has no composed letter stays in parts, in one order.  Rows of equal keys must be equal.
+    marks for which Unicode has no composed letter stays in parts, in one order, and so does a Hangul syllable, whose parts are
+    no marks.  Rows of equal keys must be equal.
     Texts of ASCII alone are already in that form and go past the explosion.
     """
     spark = df.sparkSession

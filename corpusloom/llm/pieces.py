@@ -40,7 +40,7 @@ def split_texts(texts: DataFrame, key: str) -> DataFrame:
     whole = limit.isNull() | (F.length("text") <= checked)
     taken = F.regexp_extract_all("text", boundary_pattern(checked - over), F.lit(0))
     rows = texts.where(F.col("text").isNotNull()).select(
-        key, F.when(whole, 0).otherwise(over).alias("over"), F.when(whole, F.array("text")).otherwise(taken).alias("cores")
+        key, "text", F.when(whole, 0).otherwise(over).alias("over"), F.when(whole, F.array("text")).otherwise(taken).alias("cores")
     )
     sizes = F.transform("cores", lambda c: F.length(c))
     starts = F.aggregate(
@@ -51,9 +51,12 @@ def split_texts(texts: DataFrame, key: str) -> DataFrame:
     )
 
     def piece(core: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.right(F.array_join(F.slice("cores", F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), ""), F.col("over"))).otherwise("")
-        before = F.when(F.col("over") > 0, before).otherwise("")
-        return F.struct(F.get("starts", i).alias("start"), F.length(before).alias("overlap"), F.concat(before, core).alias("piece"))
+        start, over = F.get("starts", i), F.col("over")
+        near = F.array_join(F.slice("cores", F.greatest(i - 7, F.lit(1)), F.least(i, F.lit(8))), "")
+        # the last few pieces nearly always hold the overlap; only very short ones need a walk through the text
+        before = F.when(F.length(near) >= F.least(over, start), F.right(near, over)).otherwise(F.substring("text", F.greatest(start - over, F.lit(0)) + 1, F.least(over, start)))
+        before = F.when((i > 0) & (over > 0), before).otherwise("")
+        return F.struct(start.alias("start"), F.length(before).alias("overlap"), F.concat(before, core).alias("piece"))
 
     rows = rows.withColumn("starts", starts).select(key, F.posexplode(F.transform("cores", piece)).alias("at", "p"))
     return rows.select(
