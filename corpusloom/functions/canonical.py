@@ -6,7 +6,7 @@ import hashlib
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +58,14 @@ def canonical_hash_json(text: Column) -> Column:
     return hashed(text)
 
 
-def tree_hash(path: Column, checksum: Column) -> Column:
-    """Aggregate: one hash over path and checksum of every file of a group, whatever the order of rows."""
+def tree_hashes(files: DataFrame, group: str, path: Column, checksum: Column, digits: int = 2) -> DataFrame:
+    """(group, hash): one hash over path and checksum of every file of a group, whatever the order of rows.
+
+    Files are hashed in branches by the first ``digits`` hex digits of the hash of their path, then the branches, so a group of
+    any size needs no list of all its files: a branch holds one in 16 ** ``digits`` of them.
+    """
     line = F.concat_ws(" ", checksum, path)
-    return F.concat(F.lit("sha256:"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256))
+    folded = lambda lines: F.sha2(F.array_join(F.array_sort(F.collect_list(lines)), "\n"), 256)
+    branch = F.substring(F.sha2(path, 256), 1, digits)
+    branches = files.select(group, branch.alias("__branch"), line.alias("__line")).groupBy(group, "__branch").agg(folded(F.col("__line")).alias("__hash"))
+    return branches.groupBy(group).agg(F.concat(F.lit("sha256:"), folded(F.concat_ws(" ", "__branch", "__hash"))).alias("hash"))

@@ -59,6 +59,13 @@ def plain_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
 
 
+def captions(text: Column) -> Column:
+    """Array of (kind, number, caption) of the tables and figures of a note: **TBL 3-1-5** *caption*."""
+    found = F.regexp_extract_all(text, F.lit(r"(\*\*(?:TBL|FIG) [0-9A-Z-]+\*\*(?: \*[^*\n]+\*)?)"), F.lit(1))
+    part = lambda x, i: F.regexp_extract(x, r"^\*\*(TBL|FIG) ([0-9A-Z-]+)\*\*(?: \*([^*\n]+)\*)?$", i)
+    return F.transform(found, lambda x: F.struct(part(x, 1).alias("kind"), part(x, 2).alias("number"), F.nullif(part(x, 3), F.lit("")).alias("caption")))
+
+
 def edition_change(label: Column) -> Column:
     """Highest change number of a listing label ('Change 1, 2 and 3' is 3, 'Basic' is 0); null if it names none."""
     listed = F.regexp_extract(label, r"(?i)changes?\s+([0-9]+(?:\s*(?:,|and|&)\s*[0-9]+)*)", 1)

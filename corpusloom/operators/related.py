@@ -62,11 +62,16 @@ def nearest_vectors(vectors: DataFrame, key: str, vector: str, queries, k: int =
     count = rows.where(queries).count()
     blocks = max(1, -(-count // block))
     asked = rows.where(queries).groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
-    met = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(asked, "block")
+    # each block goes to every part of the records, so that one block does not bring all records together
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    placed = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts).cast("long"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    met = placed.join(asked, ["block", "part"]).select("block", "id", "v", "queries")
 
     def best(batches):
         for pdf in batches:
             for _, part in pdf.groupby("block", sort=False):
+                # the queries of a block are the same in all its rows
                 own = part.queries.iloc[0]
                 q = np.stack([np.asarray(x["v"]) for x in own])
                 v = np.stack(part.v.to_numpy())

@@ -107,10 +107,12 @@ def strip_provenance(spark, folder):
 
 
 @REGISTRY.add("tree_hash", """
-    SELECT source, 'sha256:' || sha256(string_agg(line, chr(10) ORDER BY line)) AS hash FROM (SELECT source, sha256(text) || ' ' || doc_id AS line FROM documents) GROUP BY source""")
+    WITH b AS (SELECT source, substr(sha256(doc_id::VARCHAR), 1, 2) AS branch, sha256(text) || ' ' || doc_id AS line FROM documents),
+    h AS (SELECT source, branch || ' ' || sha256(string_agg(line, chr(10) ORDER BY line)) AS hash FROM b GROUP BY source, branch)
+    SELECT source, 'sha256:' || sha256(string_agg(hash, chr(10) ORDER BY hash)) AS hash FROM h GROUP BY source""")
 def tree_hash(spark, folder):
     rows = load(spark, folder, "documents", "source", "doc_id", "text")
-    return rows.groupBy("source").agg(canonical.tree_hash(F.col("doc_id").cast("string"), F.sha2("text", 256)).alias("hash"))
+    return canonical.tree_hashes(rows, "source", F.col("doc_id").cast("string"), F.sha2("text", 256))
 
 
 @REGISTRY.add("exact_dups", "SELECT sha256(text) AS hash, count(*) AS copies, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -189,3 +191,9 @@ def edition_parse(spark, folder):
 def retry_wait(spark, folder):
     header = F.when(F.col("event_id") % 3 == 0, (F.col("event_id") % 700).cast("string")).otherwise("soon")
     return load(spark, folder, "events", "event_id").select("event_id", pages.retry_wait(header, F.col("event_id") % 12).alias("seconds"))
+
+
+@REGISTRY.add("download_nonce")
+def download_nonce(spark, folder):
+    """Fresh for each run, so there is nothing to compare it with."""
+    return load(spark, folder, "source_manifest", "source").select("source", pages.download_nonce().alias("nonce"))

@@ -146,6 +146,15 @@ def glossary_terms(spark, folder):
     return terms.matched_terms(entries.select(F.col("term_key").alias("unit_key"), "text"), "unit_key", entries.select("term_key", "term"), "term_key")
 
 
+@REGISTRY.add("term_gate", _RUNS.format(
+    texts="SELECT DISTINCT term_key AS unit_key, text FROM pcg_term", terms="SELECT DISTINCT ON (term_key) term_key, term FROM pcg_term WHERE term IS NOT NULL"
+) + "SELECT unit_key, term_key FROM found WHERE unit_key <> term_key AND term_key NOT IN (SELECT term_key FROM t WHERE length(term) < 5)")
+def term_gate(spark, folder):
+    """Matches without those of gated (here: short) terms, and without a definition's own term."""
+    gated = load(spark, folder, "pcg_term", "term_key", "term").where("length(term) < 5")
+    return links.without(glossary_terms(spark, folder), gated, "term_key").where("unit_key <> term_key").select("unit_key", "term_key")
+
+
 _PARTS = "(SELECT DISTINCT try_cast(part AS INT) AS number FROM cfr_section WHERE try_cast(part AS INT) IS NOT NULL)"
 _SCOPES = "(SELECT p_partkey AS scope_id, p_partkey % 200 AS lo, p_partkey % 200 + p_size * (p_partkey % 7) AS hi FROM part)"
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions import ids, markdown
+from corpusloom.functions import markdown, pages
 from corpusloom.operators import notes
 from corpusloom.plans import Registry
 from corpusloom.sources.tables import load
@@ -200,8 +200,8 @@ def amendments(spark, folder):
     return rows.select("doc_id", F.regexp_extract("note", r"Docket No\. ([0-9]+)", 1).alias("docket"), F.regexp_extract("note", r"Amdt\. ([0-9-]+)", 1).alias("amendment"))
 
 
-@REGISTRY.add("captions", r"SELECT doc_id, count(*) AS table_rows, min(cells) AS cells FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, length(regexp_replace(line, '[^|]', '', 'g')) - 1 AS cells FROM documents) WHERE starts_with(line, '|') GROUP BY 1")
-def captions(spark, folder):
+@REGISTRY.add("table_shapes", r"SELECT doc_id, count(*) AS table_rows, min(cells) AS cells FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, length(regexp_replace(line, '[^|]', '', 'g')) - 1 AS cells FROM documents) WHERE starts_with(line, '|') GROUP BY 1")
+def table_shapes(spark, folder):
     rows = load(spark, folder, "documents", "doc_id", "text").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("startswith(line, '|')")
     return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("table_rows"), F.min(F.length(F.regexp_replace("line", "[^|]", "")) - 1).alias("cells"))
 
@@ -222,3 +222,45 @@ def acs_task_note(spark, folder):
     code = F.concat(F.col("task"), F.lit("."), F.col("kind"), F.col("p_size").cast("string"))
     item = F.concat(F.lit("- **"), code, F.lit("** "), F.col("p_name"), markdown.block_anchor(code))
     return rows.groupBy("task", "kind").agg(notes.in_order(item, F.col("p_size"), F.col("p_partkey")).alias("body"))
+
+
+_CAPTION = "'**' || ['TBL', 'FIG', 'BOX'][p_partkey % 3 + 1] || ' ' || p_size || '-' || p_partkey || '**' || CASE WHEN p_partkey % 5 > 0 THEN ' *' || p_name || '*' ELSE '' END || chr(10) || '**FIG 1-1** *End*'"
+
+
+@REGISTRY.add("captions", f"""
+    SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'TBL' ELSE 'FIG' END AS kind, p_size || '-' || p_partkey AS number, CASE WHEN p_partkey % 5 > 0 THEN p_name END AS caption FROM part WHERE p_partkey % 3 < 2
+    UNION ALL SELECT p_partkey, 'FIG', '1-1', 'End' FROM part""")
+def captions(spark, folder):
+    rows = load(spark, folder, "part", "p_partkey", "p_size", "p_name")
+    kind = F.element_at(F.array(*map(F.lit, ["TBL", "FIG", "BOX"])), (F.col("p_partkey") % 3 + 1).cast("int"))
+    named = F.when(F.col("p_partkey") % 5 > 0, F.concat(F.lit(" *"), F.col("p_name"), F.lit("*"))).otherwise("")
+    text = F.concat(F.lit("**"), kind, F.lit(" "), F.concat_ws("-", "p_size", "p_partkey"), F.lit("**"), named, F.lit("\n**FIG 1-1** *End*"))
+    return rows.select("p_partkey", F.explode(pages.captions(text)).alias("c")).select("p_partkey", "c.kind", "c.number", "c.caption")
+
+
+@REGISTRY.add("curated_order", "SELECT DISTINCT term_key, i AS place, see_also[i] AS item FROM (SELECT term_key, see_also, unnest(range(1, len(see_also) + 1)) AS i FROM pcg_term)")
+def curated_order(spark, folder):
+    rows = load(spark, folder, "pcg_term", "term_key", "see_also").select("term_key", F.posexplode("see_also").alias("place", "item"))
+    return rows.select("term_key", (F.col("place") + 1).alias("place"), "item").distinct()
+
+
+@REGISTRY.add("source_notes", """
+    SELECT o_custkey, string_agg('**' || kind || ':** ' || items, chr(10) || chr(10) ORDER BY place) AS notes FROM (
+      SELECT o_custkey, list_position(['O', 'F', 'P'], o_orderstatus) AS place, ['Authority', 'Source', 'Citations'][list_position(['O', 'F', 'P'], o_orderstatus)] AS kind, string_agg(o_orderkey, '; ' ORDER BY o_orderkey) AS items FROM orders GROUP BY ALL) GROUP BY o_custkey""")
+def source_notes(spark, folder):
+    place = F.array_position(F.array(*map(F.lit, "OFP")), F.col("o_orderstatus"))
+    kind = F.element_at(F.array(*map(F.lit, ["Authority", "Source", "Citations"])), F.col("place").cast("int"))
+    rows = load(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderstatus").withColumn("place", place).withColumn("kind", kind)
+    each = rows.groupBy("o_custkey", "place", "kind").agg(notes.in_order(F.col("o_orderkey").cast("string"), F.col("o_orderkey"), separator="; ").alias("items"))
+    text = F.concat(F.lit("**"), F.col("kind"), F.lit(":** "), F.col("items"))
+    return each.groupBy("o_custkey").agg(notes.in_order(text, F.col("place"), separator="\n\n").alias("notes"))
+
+
+@REGISTRY.add("oral_prep", """
+    SELECT l_orderkey, '## ' || o_orderpriority || chr(10) || string_agg('- ' || l_partkey || ': ' || p_name, chr(10) ORDER BY l_linenumber, l_partkey) AS note
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey, o_orderpriority""")
+def oral_prep(spark, folder):
+    items = load(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").join(load(spark, folder, "part", "p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey"))
+    listed = notes.contents(items, "l_orderkey", F.concat_ws(": ", "l_partkey", "p_name"), F.col("l_linenumber"), F.col("l_partkey"))
+    rows = listed.join(load(spark, folder, "orders", "o_orderkey", "o_orderpriority"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return rows.select("l_orderkey", F.concat(F.lit("## "), F.col("o_orderpriority"), F.lit("\n"), F.col("contents")).alias("note"))

@@ -66,7 +66,8 @@ def test_canonical_hash_ignores_provenance_and_order(spark):
 
 def test_tree_hash_does_not_depend_on_order(spark):
     rows = spark.createDataFrame([("a", "1"), ("b", "2")], "p string, c string")
-    tree = lambda df: df.agg(canonical.tree_hash(F.col("p"), F.col("c"))).first()[0]
+    rows = rows.withColumn("g", F.lit(1))
+    tree = lambda df: canonical.tree_hashes(df, "g", F.col("p"), F.col("c")).first()["hash"]
     assert tree(rows) == tree(rows.orderBy(F.desc("p"))) != tree(rows.where("p = 'a'"))
 
 
