@@ -15,6 +15,7 @@ def variants(term: Column) -> Column:
     return F.array_distinct(F.filter(forms, lambda x: x.isNotNull() & (F.length(x) > 0)))
 
 
+ACRONYM = "^[A-Z0-9]{1,5}s?$"
 WORDS = r"[A-Za-z0-9]+(?:[-'/][A-Za-z0-9]+)*"
 
 
@@ -25,8 +26,10 @@ def word_runs(words: Column, most: int) -> Column:
     """
 
     def runs(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+        if n == 1:
+            return words
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
 
     return F.concat(*[runs(n) for n in range(1, most + 1)])
 
@@ -40,12 +43,13 @@ def matched_terms(texts: DataFrame, key: str, terms: DataFrame, term_key: str, m
     """
     form = F.explode(variants(F.col("term"))).alias("form")
     forms = terms.where("term is not null").select(term_key, form)
-    exact = F.col("form").rlike("^[A-Z0-9]{1,5}s?$")
+    exact = F.col("form").rlike(ACRONYM)
     folded = F.regexp_replace(F.trim("form"), r"[^A-Za-z0-9'/-]+", " ")
     forms = forms.select(term_key, exact.alias("exact"), F.when(exact, F.col("form")).otherwise(F.lower(folded)).alias("run")).distinct()
     words = texts.where("text is not null").select(key, F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)).alias("words"))
     runs = words.select(key, F.explode(word_runs(F.col("words"), most)).alias("run"))
-    both = runs.select(key, F.explode(F.array(F.struct(F.lit(True).alias("exact"), F.col("run")), F.struct(F.lit(False).alias("exact"), F.lower("run").alias("run")))).alias("r"))
+    written = F.when(F.col("run").rlike(ACRONYM), F.struct(F.lit(True).alias("exact"), F.col("run")))
+    both = runs.select(key, F.explode(F.array_compact(F.array(F.struct(F.lit(False).alias("exact"), F.lower("run").alias("run")), written))).alias("r"))
     both = both.select(key, "r.exact", "r.run").distinct()
     return both.join(forms, ["exact", "run"]).select(key, term_key).distinct()
 
