@@ -55,8 +55,8 @@ def source_status(registry: DataFrame, states: DataFrame, source: str, version:
 
 def set_difference(known: DataFrame, found: DataFrame, on: str) -> DataFrame:
     """(on, problem): names that only one side has, as 'missing' (known only) or 'unknown' (found only)."""
-    missing = known.select(on).exceptAll(found.select(on)).distinct().join(found.select(on).distinct(), on, "left_anti")
-    unknown = found.select(on).distinct().join(known.select(on).distinct(), on, "left_anti")
+    known, found = known.select(on).distinct(), found.select(on).distinct()
+    missing, unknown = known.join(found, on, "left_anti"), found.join(known, on, "left_anti")
     return missing.withColumn("problem", F.lit("missing")).unionByName(unknown.withColumn("problem", F.lit("unknown")))
 
 
