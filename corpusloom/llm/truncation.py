@@ -51,8 +51,8 @@ def _size(sentence: Column) -> Column:
 def line_facts(texts: DataFrame) -> DataFrame:
     """(fact, key, yes, no): what all lines before the last of all rows (text) say about lines.
 
-    ``start1``, ``start2``: sentences with this kind of line and first one or two words that end open / closed; ``size``: the
-    same by length; ``end1``, ``end2``: this word or pair of words at the end of / inside an open line; ``number``: numbers after this word that go on behind a point /
+    ``start2``: sentences with this kind of line and first two words that end open / closed; ``size``: the same by length;
+    ``end2``: this pair of words at the end of / inside an open line; ``number``: numbers after this word that go on behind a point /
     that end there.
     """
     lines = F.split("text", "\n")
@@ -64,16 +64,15 @@ def line_facts(texts: DataFrame) -> DataFrame:
     fact = lambda kind, key, yes: F.struct(F.lit(kind).alias("fact"), key.alias("key"), yes.cast("int").alias("yes"))
     none = F.array().cast("array<struct<fact:string,key:string,yes:int>>")
     opened = lambda i: ~F.col("closed") & (i == F.size("sentences") - 1)
-    first = lambda n: F.transform("sentences", lambda x, i: fact(f"start{n}", F.concat_ws(" ", "kind", F.substring_index(F.ltrim(x), " ", n)), opened(i)))
+    starts = F.transform("sentences", lambda x, i: fact("start2", F.concat_ws(" ", "kind", F.substring_index(F.ltrim(x), " ", 2)), opened(i)))
     sizes = F.transform("sentences", lambda x, i: fact("size", F.concat_ws(" ", "kind", _size(x)), opened(i)))
-    words = _words(F.element_at("sentences", -1))
-    end1 = F.transform(words, lambda w, i: fact("end1", F.lower(w), i == F.size(words) - 1))
-    end2 = F.transform(words, lambda w, i: fact("end2", F.lower(F.concat_ws(" ", F.get(words, i - 1), w)), i == F.size(words) - 1))
-    ends = F.when(F.col("closed"), none).otherwise(F.concat(end1, end2))
+    rows = rows.withColumn("words", F.when(~F.col("closed"), _words(F.element_at("sentences", -1))))
+    pair = lambda w, i: F.lower(F.concat_ws(" ", F.get("words", i - 1), w))
+    ends = F.coalesce(F.transform("words", lambda w, i: fact("end2", pair(w, i), i == F.size("words") - 1)), none)
     numbers = F.regexp_extract_all("line", F.lit(r"(?<!\S)\S++ \d[\d,]*+\.(?:\d|\s|$)"), F.lit(0))
     numbers = F.transform(numbers, lambda m: fact("number", F.lower(F.split_part(m, F.lit(" "), F.lit(1))), m.rlike(r"\d$")))
     return (
-        rows.select(F.explode(F.concat(first(1), first(2), sizes, ends, numbers)).alias("f"))
+        rows.select(F.explode(F.concat(starts, sizes, ends, numbers)).alias("f"))
         .groupBy("f.fact", "f.key")
         .agg(F.sum("f.yes").alias("yes"), F.sum(1 - F.col("f.yes")).alias("no"))
     )
@@ -192,7 +191,9 @@ def truncation_scores(documents: DataFrame) -> DataFrame:
         rows = rows.join(own, ["source", unit], "left")
     # what whole lines say about this one
     for fact in ("start1", "start2", "size", "end1", "end2", "number"):
-        own = facts.where(F.col("fact") == fact).select(F.col("key").alias(fact), F.col("yes").alias(f"{fact}_yes"), F.col("no").alias(f"{fact}_no"))
+        # counts by one word are sums of those by two
+        key = {"start1": F.substring_index("key", " ", 2), "end1": F.substring_index("key", " ", -1)}.get(fact, F.col("key"))
+        own = facts.where(F.col("fact") == fact.replace("1", "2")).groupBy(key.alias(fact)).agg(F.sum("yes").alias(f"{fact}_yes"), F.sum("no").alias(f"{fact}_no"))
         rows = rows.join(own, fact, "left")
     shapes = ends.where("label is not null").groupBy("label", "shape").agg(F.count(F.lit(1)).alias("same"))
     labels = shapes.groupBy("label").agg(F.sum("same").alias("labelled"), F.max("same").alias("usual"))
