@@ -102,7 +102,7 @@ def crowded(*sides: DataFrame) -> DataFrame | None:
 
 
 def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap | Edits) -> DataFrame:
-    """Distinct candidate pairs (a, b) with a < b of records that share a root and may satisfy ``test``.
+    """Candidate pairs (a, b, roots) with a < b that share ``roots`` roots and may satisfy ``test``, each once.
 
     Both sides have (root, item, size, bits, low, b0...): a record once per root, its size, its number of bits, its least
     token hash and its bitmap.  ``right`` is None for a tree walked with itself.  Joins of records are merge joins: what is
@@ -131,11 +131,12 @@ def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap |
         return a.alias("l").join(b.hint("merge").alias("r"), same)
 
     a, b = pick(small)
-    found = joined(a, b, [("root", "root")], order).select(F.col("l.item").alias("a"), F.col("r.item").alias("b"))
-
-    distinct = lambda x: x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # plain columns only: the loop over pairs must stay small enough to be compiled
+    ends = [F.least("l.item", "r.item").alias("a"), F.greatest("l.item", "r.item").alias("b")]
+    counted = lambda rows: rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("roots"))
+    found = joined(a, b, [("root", "root")], order).select(*ends)
     if many is None:
-        return distinct(found)
+        return counted(found)
     # roots of many records: bands, then nodes, then records
     large = [placed(s).select("root", "band", "slot", *attrs) for s in sides]
     a, b = pick([t.groupBy("root", "band").agg(*_node()) for t in large])
@@ -154,8 +155,7 @@ def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap |
     one_node = (F.col("l.band_a") == F.col("l.band_b")) & (F.col("l.slot_a") == F.col("l.slot_b"))
     first = (order | ~one_node) if own else order
     pairs = joined(step, b, [("root", "root"), ("band_b", "band"), ("slot_b", "slot")], first)
-    found = found.unionByName(pairs.select(F.col("l.item").alias("a"), F.col("r.item").alias("b")))
-    return distinct(found)
+    return counted(found.unionByName(pairs.select(*ends)))
 
 
 def similar_sets(sets: DataFrame, least: float) -> DataFrame:
@@ -187,6 +187,12 @@ def similar_sets(sets: DataFrame, least: float) -> DataFrame:
     records = cut(records, "records")
     forest = records.select(F.explode("roots").alias("root"), "item", "size", "bits", "low", *BITS)
     candidates = dual_traversal(forest, None, SetOverlap(least))
+    # what two records share is among the roots of both, or behind the last root of one: there it has less than it needs
+    sizes = [records.select(F.col("item").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab"]
+    candidates = candidates.join(sizes[0], "a").join(sizes[1], "b")
+    behind = F.greatest(*[F.ceil(F.lit(least) * F.col(c) - 1e-9) for c in ("size_a", "size_b")]) - 1
+    enough = F.col("roots") + behind >= F.lit(least / (1 + least)) * (F.col("size_a") + F.col("size_b")) - 1e-9
+    candidates = candidates.where(enough).select("a", "b")
     a = sets.select(F.col("item").alias("a"), F.col("tokens").alias("tokens_a"))
     b = sets.select(F.col("item").alias("b"), F.col("tokens").alias("tokens_b"))
     both = candidates.join(a, "a").join(b, "b").withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -246,7 +252,7 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
     candidates = dual_traversal(cut(probe, "probe").join(marked, "item"), cut(index, "index").join(marked, "item"), Edits(edits))
     a = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
-    both = candidates.join(a, "a").join(b, "b")
+    both = candidates.select("a", "b").join(a, "a").join(b, "b")
     return both.where(F.levenshtein("text_a", "text_b", edits).between(0, edits)).select("a", "b")
 
 
