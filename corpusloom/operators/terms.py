@@ -16,11 +16,11 @@ def variants(term: Column) -> Column:
 
 
 ACRONYM = "^[A-Z0-9]{1,5}s?$"
-WORDS = r"[A-Za-z0-9]+(?:[-'/][A-Za-z0-9]+)*"
+WORDS = r"[\p{L}\p{M}0-9]+(?:[-'/][\p{L}\p{M}0-9]+)*"
 
 
-def word_runs(words: Column, most: int) -> Column:
-    """All runs of 1 to ``most`` words of an array column, repeats kept.
+def word_runs(words: Column, lengths: list[int]) -> Column:
+    """All runs of as many words of an array column as one of ``lengths`` says, repeats kept.
 
     ``words`` must be a plain column: an expression would be evaluated again for every run.
     """
@@ -31,23 +31,24 @@ def word_runs(words: Column, most: int) -> Column:
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
 
-    return F.concat(*[runs(n) for n in range(1, most + 1)])
+    return F.concat(*[runs(n) for n in lengths])
 
 
-def matched_terms(texts: DataFrame, key: str, terms: DataFrame, term_key: str, most: int = 4) -> DataFrame:
+def matched_terms(texts: DataFrame, key: str, terms: DataFrame, term_key: str) -> DataFrame:
     """(key, term_key): the terms (term_key, term) that occur in the texts (key, text), each once.
 
-    Terms are matched by words, in any case; a term of one word in capitals, of at most five letters, only as written.  Terms
-    of more than ``most`` words are not matched.  The dictionary may be large: runs that are in no text, and terms that are
-    in none, meet nowhere else than in the join.
+    Terms are matched by words, in any case; a term of one word in capitals, of at most five letters, only as written.  The
+    runs compared are as long as the forms of the dictionary, whatever their length; the driver collects these few numbers.
+    The dictionary may be large: runs that are in no text, and terms that are in none, meet nowhere else than in the join.
     """
     form = F.explode(variants(F.col("term"))).alias("form")
     forms = terms.where("term is not null").select(term_key, form)
     exact = F.col("form").rlike(ACRONYM)
-    folded = F.regexp_replace(F.trim("form"), r"[^A-Za-z0-9'/-]+", " ")
-    forms = forms.select(term_key, exact.alias("exact"), F.when(exact, F.col("form")).otherwise(F.lower(folded)).alias("run")).distinct()
+    split = forms.select(term_key, "form", exact.alias("exact"), F.regexp_extract_all("form", F.lit(WORDS), F.lit(0)).alias("words")).where("size(words) > 0")
+    lengths = sorted(r[0] for r in split.select(F.size("words")).distinct().collect()) or [1]
+    forms = split.select(term_key, "exact", F.when(F.col("exact"), F.col("form")).otherwise(F.lower(F.array_join("words", " "))).alias("run")).distinct()
     words = texts.where("text is not null").select(key, F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)).alias("words"))
-    runs = words.select(key, F.explode(word_runs(F.col("words"), most)).alias("run"))
+    runs = words.select(key, F.explode(word_runs(F.col("words"), lengths)).alias("run"))
     written = F.when(F.col("run").rlike(ACRONYM), F.struct(F.lit(True).alias("exact"), F.col("run")))
     both = runs.select(key, F.explode(F.array_compact(F.array(F.struct(F.lit(False).alias("exact"), F.lower("run").alias("run")), written))).alias("r"))
     both = both.select(key, "r.exact", "r.run").distinct()

@@ -27,3 +27,30 @@ def test_cycle_reaches_all_descendants(spark):
     got = rows_of(query(spark, "cycle_check"))[1]
     assert got == sorted([(-1,), (-2,), (-3,), *((n,) for n in parts if below(n))], key=repr)
     assert len(got) > 5
+
+
+def test_terms_of_any_length(spark):
+    from corpusloom.operators import terms
+
+    dictionary = spark.createDataFrame([(1, "minimum safe altitude warning system display"), (2, "WINDSHEAR P\u00c9RIPH\u00c9RIE OUTBOUND"), (3, "RIPH")], "id int, term string")
+    texts = spark.createDataFrame([("a", "The minimum safe altitude, warning system displays fail"), ("b", "a windshear p\u00e9riph\u00e9rie outbound"), ("c", "minimum safe altitude warning system")], "k string, text string")
+    got = terms.matched_terms(texts, "k", dictionary, "id")
+    assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 2)]
+    assert terms.matched_terms(texts, "k", dictionary.where("false"), "id").isEmpty()
+
+
+def test_glossary_finds_every_term_that_stands_in_a_text(spark):
+    """Each term against each text by its padded words, without runs."""
+    import re
+
+    words = lambda t: " " + " ".join(re.findall(r"[^\W_]+(?:[-'/][^\W_]+)*", t)).lower() + " "
+    rows = spark.read.parquet(f"{SMALL}/pcg_term.parquet").select("term_key", "term", "text").dropDuplicates(["term_key"]).collect()
+    plain = [(r[0], words(r[1])) for r in rows if r[1] and not re.fullmatch("[A-Z0-9]{1,5}s?", r[1])]
+    whole = {(r[0], key) for r in rows if r[2] for t in [words(r[2])] for key, term in plain if term.strip() and term in t}
+    got = set(map(tuple, query(spark, "glossary_terms").select("unit_key", "term_key").collect()))
+    assert whole <= got
+    long = {key for key, term in plain if len(term.split()) > 4}
+    assert {key for _, key in got} & long or not long
+    gate = set(map(tuple, query(spark, "term_gate").select("unit_key", "term_key").collect()))
+    short = {r[0] for r in rows if r[1] and len(r[1]) < 5}
+    assert gate == {(u, t) for u, t in got if u != t and t not in short}
