@@ -55,9 +55,9 @@ def resolve_or_keep(items: DataFrame, targets: DataFrame, on: str, link: str, pl
     return joined.withColumn("resolved", F.col(link).isNotNull()).withColumn("shown", F.coalesce(link, plain))
 
 
-def dangling(edges: DataFrame, targets: DataFrame, on: str) -> DataFrame:
+def dangling(edges: DataFrame, targets: DataFrame, *on: str) -> DataFrame:
     """Edges whose target does not exist."""
-    return edges.join(targets.select(on).distinct(), on, "left_anti")
+    return edges.join(targets.select(*on).distinct(), list(on), "left_anti")
 
 
 def without(suggested: DataFrame, explicit: DataFrame, *on: str) -> DataFrame:

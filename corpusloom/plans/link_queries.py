@@ -48,8 +48,15 @@ def _refs(spark, folder):
 
 
 def _targets(spark, folder):
-    sections = load(spark, folder, "cfr_section", "section", "title").where("section is not null").groupBy("section").agg(F.min("title").alias("title"))
-    return sections.select(F.lit("section").alias("kind"), F.col("section").alias("target"), "title")
+    """What a reference of each kind can point at: sections, parts (which have no title of their own) and paragraphs of the AIM."""
+    rows = load(spark, folder, "cfr_section", "section", "part", "title")
+    sections = rows.where("section is not null").groupBy("section").agg(F.min("title").alias("title"))
+    sections = sections.select(F.lit("section").alias("kind"), F.col("section").alias("target"), "title")
+    parts = rows.where("part is not null").select(F.lit("part").alias("kind"), F.col("part").alias("target"), F.lit(None).cast("string").alias("title")).distinct()
+    number = F.regexp_extract("citation", r"^AIM ([0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3})$", 1)
+    units = _unit_rows(spark, folder).where("layer = 'aim'").select(number.alias("target"), "heading").where("target <> ''")
+    paragraphs = units.groupBy("target").agg(F.min("heading").alias("title")).select(F.lit("paragraph").alias("kind"), "target", "title")
+    return sections.unionByName(parts).unionByName(paragraphs)
 
 
 _TARGETS = "targets AS (SELECT 'section' AS kind, section AS target, min(title) AS title FROM cfr_section WHERE section IS NOT NULL GROUP BY section)"
@@ -67,7 +74,8 @@ def link_resolve(spark, folder):
 
 @REGISTRY.add("dangling_links", _REFS + f", {_TARGETS} SELECT unit_key, target FROM refs WHERE kind = 'section' AND target NOT IN (SELECT target FROM targets)")
 def dangling_links(spark, folder):
-    return links.dangling(_refs(spark, folder).where("kind = 'section'"), _targets(spark, folder), "target").select("unit_key", "target")
+    """References of every kind; the form of the target tells its kind (91.155, 91, 5-4-3)."""
+    return links.dangling(_refs(spark, folder), _targets(spark, folder), "kind", "target").select("unit_key", "target")
 
 
 @REGISTRY.add("backlinks", _REFS + "SELECT kind, target, array_to_string(list_sort(list(DISTINCT unit_key)), ',') AS sources, count(DISTINCT unit_key) AS n FROM refs GROUP BY ALL")

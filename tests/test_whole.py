@@ -54,3 +54,24 @@ def test_glossary_finds_every_term_that_stands_in_a_text(spark):
     gate = set(map(tuple, query(spark, "term_gate").select("unit_key", "term_key").collect()))
     short = {r[0] for r in rows if r[1] and len(r[1]) < 5}
     assert gate == {(u, t) for u, t in got if u != t and t not in short}
+
+
+ALL_TARGETS = r"""
+    , once AS (SELECT DISTINCT ON (unit_key) * FROM units), every AS (
+      SELECT 'section' AS kind, section AS target, min(title) AS title FROM cfr_section WHERE section IS NOT NULL GROUP BY section
+      UNION ALL SELECT DISTINCT 'part', part, NULL FROM cfr_section WHERE part IS NOT NULL
+      UNION ALL SELECT 'paragraph', citation[5:], min(heading) FROM once WHERE layer = 'aim' AND citation LIKE 'AIM %' GROUP BY citation)
+"""
+
+
+def test_links_of_every_kind(spark):
+    from corpusloom.plans.link_queries import _REFS
+
+    folder = DATA / "sf0.01"
+    found = sql_rows(folder, _REFS + ALL_TARGETS + "SELECT unit_key, kind, target, title FROM refs JOIN every USING (kind, target)")
+    lost = sql_rows(folder, _REFS + ALL_TARGETS + "SELECT unit_key, target FROM refs ANTI JOIN every USING (kind, target)")
+    assert rows_of(entry.queries()["link_resolve"](spark, str(folder))) == found
+    assert rows_of(entry.queries()["dangling_links"](spark, str(folder))) == lost
+    assert {"part", "paragraph"} <= {r[0] for r in found[1]}
+    assert any("-" in r[0] for r in lost[1])
+
