@@ -23,12 +23,16 @@ def last_known_good(previous: DataFrame, fetched: DataFrame, key: str, *values:
     return both.select(key, *[F.coalesce(F.col(f"__new.{v}"), F.col(f"__old.{v}")).alias(v) for v in values])
 
 
-def transitions(rows: DataFrame, key: str, edition: str, value: str) -> DataFrame:
-    """(key, edition, previous_edition, change): what each edition did to a record: first, same, changed."""
-    order = Window.partitionBy(key).orderBy(edition)
+def transitions(rows: DataFrame, key: str | list[str], edition: str, value: str) -> DataFrame:
+    """(key, edition, previous_edition, change): what each edition did to a record: first, same, changed.
+
+    ``key`` may be several columns.
+    """
+    keys = [key] if isinstance(key, str) else key
+    order = Window.partitionBy(*keys).orderBy(edition)
     before, was = F.lag(edition).over(order), F.lag(value).over(order)
     change = F.when(before.isNull(), "first").when(was.eqNullSafe(F.col(value)), "same").otherwise("changed")
-    return rows.select(key, edition, before.alias("previous_edition"), change.alias("change"))
+    return rows.select(*keys, edition, before.alias("previous_edition"), change.alias("change"))
 
 
 def as_of(facts: DataFrame, editions: DataFrame, by: str, at: str, since: str, *values: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import editions
-from corpusloom.operators.snapshots import plain_hash, plain_source
+from corpusloom.operators.snapshots import deliveries, plain_source
 from corpusloom.plans import Registry
 from corpusloom.sources.tables import load
 from corpusloom.streaming import windows
@@ -14,9 +14,8 @@ REGISTRY = Registry()
 _PLAIN = "SELECT DISTINCT lower(trim(source)) AS source, id, source_version AS version, regexp_replace(lower(trim(canonical_hash)), '^sha256:', '') AS hash FROM cfr_section"
 
 
-def _plain(spark, folder):
-    rows = load(spark, folder, "cfr_section", "source", "id", "source_version", "canonical_hash")
-    return rows.select(plain_source(F.col("source")).alias("source"), "id", F.col("source_version").alias("version"), plain_hash(F.col("canonical_hash")).alias("hash")).distinct()
+def _delivered(spark, folder):
+    return deliveries(load(spark, folder, "cfr_section", "source", "id", "source_version", "fetched_at", "canonical_hash"))
 
 
 @REGISTRY.add("latest_version", "SELECT lower(trim(source)) AS source, max(source_version) AS version FROM cfr_section WHERE source IS NOT NULL GROUP BY 1")
@@ -49,8 +48,8 @@ _ONE = f"SELECT source, id, version, max(hash) AS hash FROM ({_PLAIN}) WHERE sou
     SELECT id, version, lag(version) OVER w AS previous_edition, CASE WHEN lag(version) OVER w IS NULL THEN 'first' WHEN lag(hash) OVER w IS NOT DISTINCT FROM hash THEN 'same' ELSE 'changed' END AS change
     FROM ({_ONE}) WINDOW w AS (PARTITION BY id ORDER BY version)""")
 def edition_transitions(spark, folder):
-    rows = _plain(spark, folder).where("source = 'ecfr'").groupBy("source", "id", "version").agg(F.max("hash").alias("hash"))
-    return editions.transitions(rows, "id", "version", "hash")
+    """The editions of each section in each source; of several deliveries the one fetched last counts."""
+    return editions.transitions(_delivered(spark, folder), ["source", "id"], "version", "hash")
 
 
 @REGISTRY.add("snapshot_diff", f"""
@@ -58,14 +57,15 @@ def edition_transitions(spark, folder):
     SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' WHEN o.hash IS DISTINCT FROM n.hash THEN 'changed' ELSE 'unchanged' END AS change
     FROM (SELECT * FROM s WHERE n = 2) o FULL JOIN (SELECT * FROM s WHERE n = 1) n ON o.id = n.id""")
 def snapshot_diff(spark, folder):
-    rows = _plain(spark, folder).where("source = 'ecfr'").groupBy("id", "version").agg(F.max("hash").alias("hash"))
-    last = rows.select("version").distinct().orderBy(F.desc("version")).limit(2)
-    ranked = last.select("version", F.row_number().over(Window.orderBy(F.desc("version"))).alias("n"))  # two rows
-    rows = rows.join(ranked, "version")
-    old = rows.where("n = 2").select("id", F.struct("hash").alias("old"))
-    new = rows.where("n = 1").select("id", F.struct("hash").alias("new"))
+    """The last two versions of each source; a source with one version only adds."""
+    rows = _delivered(spark, folder)
+    by_age = Window.partitionBy("source").orderBy(F.desc("version"))
+    last = rows.select("source", "version").distinct().withColumn("n", F.row_number().over(by_age)).where("n <= 2")  # two rows a source
+    rows = rows.join(last, ["source", "version"])
+    old = rows.where("n = 2").select("source", "id", F.struct("hash").alias("old"))
+    new = rows.where("n = 1").select("source", "id", F.struct("hash").alias("new"))
     change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(~F.col("old.hash").eqNullSafe(F.col("new.hash")), "changed").otherwise("unchanged")
-    return old.join(new, "id", "full_outer").select("id", change.alias("change"))
+    return old.join(new, ["source", "id"], "full_outer").select("source", "id", change.alias("change"))
 
 
 @REGISTRY.add("change_summary", """

@@ -75,3 +75,33 @@ def test_links_of_every_kind(spark):
     assert {"part", "paragraph"} <= {r[0] for r in found[1]}
     assert any("-" in r[0] for r in lost[1])
 
+
+DELIVERED = """
+    WITH d AS (SELECT lower(trim(source)) AS source, id, source_version AS version, fetched_at, regexp_replace(lower(trim(canonical_hash)), '^sha256:', '') AS hash FROM cfr_section),
+    k AS (SELECT * FROM d WHERE source IS NOT NULL AND id IS NOT NULL AND version IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY source, id, version ORDER BY fetched_at DESC NULLS LAST, hash DESC NULLS LAST) = 1)
+"""
+
+
+def test_editions_of_every_source(spark):
+    moves = DELIVERED + """
+        SELECT source, id, version, lag(version) OVER w AS previous_edition, CASE WHEN lag(version) OVER w IS NULL THEN 'first' WHEN lag(hash) OVER w IS NOT DISTINCT FROM hash THEN 'same' ELSE 'changed' END AS change
+        FROM k WINDOW w AS (PARTITION BY source, id ORDER BY version)"""
+    diff = DELIVERED + """
+        , s AS (SELECT *, dense_rank() OVER (PARTITION BY source ORDER BY version DESC) AS n FROM k)
+        SELECT coalesce(o.source, n.source) AS source, coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' WHEN o.hash IS DISTINCT FROM n.hash THEN 'changed' ELSE 'unchanged' END AS change
+        FROM (SELECT * FROM s WHERE n = 2) o FULL JOIN (SELECT * FROM s WHERE n = 1) n ON o.source = n.source AND o.id = n.id"""
+    for name, sql in (("edition_transitions", moves), ("snapshot_diff", diff)):
+        columns, rows = rows_of(query(spark, name))
+        assert (columns, rows) == sql_rows(SMALL, sql)
+        assert len({r[columns.index("source")] for r in rows}) > 1
+
+
+def test_the_delivery_fetched_last_decides(spark, tmp_path):
+    rows = [("a", "1", "v1", "2026-01-01", "f"), ("a", "1", "v1", "2026-01-02", "0"), ("a", "1", "v2", "2026-02-01", "0"), ("b", "1", "v9", "2026-01-01", "c")]
+    made = spark.createDataFrame(rows, "source string, id string, source_version string, fetched_at string, canonical_hash string")
+    made.selectExpr("source", "id", "source_version", "cast(fetched_at as timestamp) as fetched_at", "canonical_hash").write.parquet(str(tmp_path / "cfr_section.parquet"))
+    got = {tuple(r) for r in entry.queries()["edition_transitions"](spark, str(tmp_path)).collect()}
+    assert got == {("a", "1", "v1", None, "first"), ("a", "1", "v2", "v1", "same"), ("b", "1", "v9", None, "first")}
+    got = {tuple(r) for r in entry.queries()["snapshot_diff"](spark, str(tmp_path)).collect()}
+    assert got == {("a", "1", "unchanged"), ("b", "1", "added")}
