@@ -47,13 +47,16 @@ def _refs(spark, folder):
     return links.references(_unit_texts(spark, folder).withColumn("number", own), "unit_key", "text", own="number")
 
 
+_PARAGRAPH = r"^AIM ([0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3})$"
+
+
 def _targets(spark, folder):
     """What a reference of each kind can point at: sections, parts (which have no title of their own) and paragraphs of the AIM."""
     rows = load(spark, folder, "cfr_section", "section", "part", "title")
     sections = rows.where("section is not null").groupBy("section").agg(F.min("title").alias("title"))
     sections = sections.select(F.lit("section").alias("kind"), F.col("section").alias("target"), "title")
     parts = rows.where("part is not null").select(F.lit("part").alias("kind"), F.col("part").alias("target"), F.lit(None).cast("string").alias("title")).distinct()
-    number = F.regexp_extract("citation", r"^AIM ([0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3})$", 1)
+    number = F.regexp_extract("citation", _PARAGRAPH, 1)
     units = _unit_rows(spark, folder).where("layer = 'aim'").select(number.alias("target"), "heading").where("target <> ''")
     paragraphs = units.groupBy("target").agg(F.min("heading").alias("title")).select(F.lit("paragraph").alias("kind"), "target", "title")
     return sections.unionByName(parts).unionByName(paragraphs)
@@ -208,10 +211,14 @@ def tfidf_related_topk(spark, folder):
 
 @REGISTRY.add("related_minus_explicit", _WEIGHTS + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM u p JOIN u q ON p.layer = q.layer AND p.unit_key // 100 = q.unit_key // 100 WHERE p.unit_key = src AND q.unit_key = dst)")
 def related_minus_explicit(spark, folder):
-    block = _unit_rows(spark, folder).select("unit_key", "layer", F.floor(F.col("unit_key") / 100).alias("block"))
-    rows = _related(spark, folder).join(block.select(F.col("unit_key").alias("src"), "layer", "block"), "src")
-    linked = block.select(F.col("unit_key").alias("dst"), "layer", "block")
-    return links.without(rows, linked, "dst", "layer", "block").select("src", "dst", "score")
+    """Suggestions whose target the unit does not cite.  A section or AIM paragraph is the units of exactly that citation; a
+    part is a note of its own, of no unit, so citing it links none of its sections."""
+    units = _unit_rows(spark, folder).select(F.col("unit_key").alias("dst"), "layer", "citation")
+    number = lambda layer, form: F.when(F.col("layer") == layer, F.regexp_extract("citation", form, 1))
+    sections = units.select(F.lit("section").alias("kind"), number("cfr", r"^14 CFR § ([0-9]+[a-z]?\.[0-9]+[a-z]?)$").alias("target"), "dst")
+    paragraphs = units.select(F.lit("paragraph").alias("kind"), number("aim", _PARAGRAPH).alias("target"), "dst")
+    linked = _refs(spark, folder).withColumnRenamed("unit_key", "src").join(sections.unionByName(paragraphs).where("target <> ''"), ["kind", "target"])
+    return links.without(_related(spark, folder), linked, "src", "dst").select("src", "dst", "score")
 
 
 @REGISTRY.add("review_filter", _WEIGHTS + "SELECT src, dst, score FROM top WHERE (src + dst) % 4 <> 0 OR same_group")

@@ -105,3 +105,15 @@ def test_the_delivery_fetched_last_decides(spark, tmp_path):
     assert got == {("a", "1", "v1", None, "first"), ("a", "1", "v2", "v1", "same"), ("b", "1", "v9", None, "first")}
     got = {tuple(r) for r in entry.queries()["snapshot_diff"](spark, str(tmp_path)).collect()}
     assert got == {("a", "1", "unchanged"), ("b", "1", "added")}
+
+
+def test_related_drops_what_is_cited(spark, tmp_path):
+    same = "handling of the certified altimeter setting near the displaced threshold"
+    texts = {50: f"See § 91.2 and AIM 5-4-3. {same}", 51: same, 52: same, 5000: same, 5001: same, 5002: same}
+    cited = {50: ("cfr", "14 CFR § 91.1"), 51: ("cfr", "14 CFR § 91.2"), 52: ("cfr", "14 CFR § 91.3"), 5000: ("aim", "AIM 5-4-3"), 5001: ("aim", "AIM 5-4-4"), 5002: ("cfr", "14 CFR § 91.2-91.9")}
+    made = [(k, *cited[k], None, None, [texts[k]]) for k in texts]
+    spark.createDataFrame(made, "unit_key long, layer string, citation string, part string, heading string, texts array<string>").write.parquet(str(tmp_path / "units.parquet"))
+    suggested = {r[0] for r in entry.queries()["tfidf_related_topk"](spark, str(tmp_path)).where("src = 50").select("dst").collect()}
+    kept = {r[0] for r in entry.queries()["related_minus_explicit"](spark, str(tmp_path)).where("src = 50").select("dst").collect()}
+    assert suggested == {51, 52, 5000, 5001, 5002}
+    assert kept == {52, 5001, 5002}
