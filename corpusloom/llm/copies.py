@@ -29,6 +29,10 @@ class Copies:
         within = l.join(r, (F.col("l.item") == F.col("r.item")) & (F.col("l.key") < F.col("r.key")))
         return across.unionByName(within.select(F.col("l.key").alias("key_a"), F.col("r.key").alias("key_b")))
 
+    def linked_classes(self) -> DataFrame:
+        """(class_a, class_b): linked classes of different texts, each pair once; with ``groups`` this is all of ``pairs`` unexpanded."""
+        return self.links.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+
     def groups(self) -> DataFrame:
         """(key, class_id, group_id, links): one row per key; ``links`` counts the other texts that its text is linked with."""
         ends = self.links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("links"))

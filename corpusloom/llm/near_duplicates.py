@@ -1,13 +1,14 @@
 """Groups of records that share most of their content, found without comparing all pairs.
 
-Signature trees, one below each root.  A root is a token that two similar records must have in common (for sets: one of the
-rarest tokens of a record, as many as a partner cannot all miss; for short strings: one of the segments that two edits cannot
-all touch).  Below a root, records are kept in nodes by size and by their least token hash; a node holds the OR of its
-members' token bitmaps, the range of their sizes and their least number of bits.  Two trees (or one with itself) are walked
-together: a pair of nodes is followed only if the greatest overlap that any two members can have is enough.  A root with few
-records is a single leaf.  The pairs that remain are compared exactly.  Equal records are one class beforehand.
-
-Nothing here is capped: every bound is a proof that a pair cannot qualify.
+Signature trees, one below each root.  A root is what two similar records must have in common: for sets one of the rarest
+tokens of a record, as many as a partner cannot all miss; for short strings one of the segments that two edits cannot all touch.
+Below a root the records hang in nodes by size; a node holds the OR of its members' token bitmaps, the range of their
+sizes, their least number of bits and the most that any of them can still share from this root on.  Every pair of nodes of a
+root (a node with itself included) is met once and followed down to its records only if the greatest overlap that any two
+members can have is enough.  A pair of records must pass the same test and meet at as many roots as two similar ones
+must have in common; what remains is compared exactly.  Equal records are one class beforehand.
+
+The trees are built for every root at every size, and nothing is capped: every bound is a proof that a pair cannot qualify.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.scratch import cut, fixed
 
-WORDS = 8  # 64-bit words of a bitmap
-LEAF = 1024  # records up to which a root is one leaf
+WORDS = 4  # 64-bit words of a bitmap
+NODE = 16  # records that a node holds on average at most
+MEET = 6  # roots at which two similar sets meet at least, or at all they share if these are fewer
 BITS = [f"b{i}" for i in range(WORDS)]
 
 
@@ -48,17 +50,28 @@ class SetOverlap:
 
     least: float
 
-    def possible(self) -> Column:
-        """For nodes or records l and r: the greatest possible overlap is enough.
+    def needed(self, together: Column) -> Column:
+        """Tokens that two sets of so many tokens together must share."""
+        return F.ceil(F.lit(self.least / (1 + self.least)) * together - 1e-9)
 
+    def at_least(self, size: Column) -> Column:
+        """Tokens that a set of at least this size shares with any similar one that is no larger."""
+        return F.ceil(F.lit(self.least) * size - 1e-9)
+
+    def possible(self, left: str, right: str) -> Column:
+        """For nodes or records: the greatest possible overlap is enough.
+
+        From its first root on a similar pair shares all it needs, from its last counted one on all but what it met before.
         A bit that one side has and the other lacks stands for at least one token that is not shared.
         """
-        t, both = F.lit(self.least), ones("l", "r")
-        missed_l, missed_r = F.greatest(F.col("l.bits") - both, F.lit(0)), F.greatest(F.col("r.bits") - both, F.lit(0))
-        slack = F.lit(1e-9)
-        return (F.col("l.most") - (1 + t) * missed_l + slack >= t * F.col("r.least")) & (
-            F.col("r.most") - (1 + t) * missed_r + slack >= t * F.col("l.least")
-        )
+        col = lambda side, name: F.col(f"{side}.{name}")
+        t, slack, both = F.lit(self.least), F.lit(1e-9), ones(left, right)
+        missed = lambda side: F.greatest(col(side, "bits") - both, F.lit(0))
+        fits = lambda a, b: col(a, "most") - (1 + t) * missed(a) + slack >= t * col(b, "least")
+        reach = F.least(col(left, "reach"), col(right, "reach")) + (MEET - 1)
+        far = (1 + t) * reach + slack >= t * (col(left, "least") + col(right, "least"))
+        ratio = (col(left, "most") + slack >= t * col(right, "least")) & (col(right, "most") + slack >= t * col(left, "least"))
+        return far & ratio & fits(left, right) & fits(right, left)
 
     def band(self, size: Column) -> Column:
         """Sizes of one band differ by at most a quarter."""
@@ -74,125 +87,113 @@ class Edits:
 
     most: int
 
-    def possible(self) -> Column:
-        both = ones("l", "r")
+    def possible(self, left: str, right: str) -> Column:
+        """For nodes or records: no two members differ by too much in length or in bits."""
+        col = lambda side, name: F.col(f"{side}.{name}")
+        both = ones(left, right)
         return (
-            (F.col("l.least") <= F.col("r.most") + self.most)
-            & (F.col("r.least") <= F.col("l.most") + self.most)
-            & (F.col("l.bits") - both <= 2 * self.most)
-            & (F.col("r.bits") - both <= 2 * self.most)
+            (col(left, "least") <= col(right, "most") + self.most)
+            & (col(right, "least") <= col(left, "most") + self.most)
+            & (col(left, "bits") - both <= 2 * self.most)
+            & (col(right, "bits") - both <= 2 * self.most)
         )
 
     def band(self, size: Column) -> Column:
+        """Four lengths."""
         return F.floor(size / 4)
 
 
-def _node(*key: str) -> list:
-    return [F.min("least").alias("least"), F.max("most").alias("most"), F.min("bits").alias("bits"), *[F.bit_or(b).alias(b) for b in BITS]]
+MEMBER = ["item", "least", "most", "reach", "bits", *BITS]
+
 
+def nodes_of(forest: DataFrame, test: SetOverlap | Edits) -> DataFrame:
+    """The nodes below every root of rows (root, most_members, item, size, reach, bits, b0...), with their records.
+
+    A root's records are split by band of size, and within it into as many slots as its greatest number of members
+    (``most_members``, known beforehand) asks for, so that a node has about ``NODE`` records at most.
+    """
+    slots = F.ceil(F.col("most_members") / NODE)
+    rows = forest.select(
+        "root", test.band(F.col("size")).cast("int").alias("band"), F.pmod(F.xxhash64("item"), slots).cast("int").alias("slot"),
+        "item", F.col("size").alias("least"), F.col("size").alias("most"), "reach", "bits", *BITS,
+    )
+    range_ = [F.min("least").alias("least"), F.max("most").alias("most"), F.max("reach").alias("reach"), F.min("bits").alias("bits")]
+    # what is grouped is moved as it is: partial lists of so few rows would only cost
+    placed = rows.repartition("root", "band", "slot").groupBy("root", "band", "slot")
+    return placed.agg(*range_, *[F.bit_or(b).alias(b) for b in BITS], F.collect_list(F.struct(*MEMBER)).alias("members"))
+
+
+def met_nodes(left: DataFrame, right: DataFrame | None) -> DataFrame:
+    """Pairs of nodes l and r of one root, each once; ``right`` is None for a forest met with itself, a node of one record is not."""
+    own = right is None
+    same = F.col("l.root") == F.col("r.root")
+    if own:
+        same = same & ((F.struct("l.band", "l.slot") < F.struct("r.band", "r.slot")) | (F.col("l.band") == F.col("r.band")) & (F.col("l.slot") == F.col("r.slot")) & (F.size("l.members") > 1))
+    return left.alias("l").join((left if own else right).hint("merge").alias("r"), same)
 
-def crowded(*sides: DataFrame) -> DataFrame | None:
-    """(root, n) of the roots of more records than a leaf holds on some side, or None; counted, before anything is planned."""
-    counts = [s.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LEAF) for s in sides]
-    both = counts[0]
-    for c in counts[1:]:
-        both = both.unionByName(c).groupBy("root").agg(F.max("n").alias("n"))
-    both = cut(both, "crowded")
-    return None if both.isEmpty() else both
+
+def followed(met: DataFrame, test: SetOverlap | Edits) -> DataFrame:
+    """Of pairs of nodes those that may hold a qualifying pair of records."""
+    return met.where(test.possible("l", "r"))
 
 
 def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap | Edits) -> DataFrame:
-    """Candidate pairs (a, b, roots) with a < b that share ``roots`` roots and may satisfy ``test``, each once.
+    """(a, b, size_a, size_b), a < b, once for each of the roots at which two records meet that may satisfy ``test``.
 
-    Both sides have (root, item, size, bits, low, b0...): a record once per root, its size, its number of bits, its least
-    token hash and its bitmap.  ``right`` is None for a tree walked with itself.  Joins of records are merge joins: what is
-    exploded here is larger than the files behind it, by whose size Spark would choose.
+    Both sides are forests, as ``nodes_of`` takes them; ``right`` is None for trees walked with themselves.  The records of a
+    node travel with it, so a pair of nodes that is followed needs no further join.  Joins are merge joins: what is exploded here
+    is larger than the files behind it, by whose size Spark would choose.
     """
     own = right is None
-    sides = [left] if own else [left, right]
-    attrs = ["item", "least", "most", "bits", *BITS]
-
-    sides = [s.withColumns({"least": F.col("size"), "most": F.col("size")}) for s in sides]
-    many = crowded(*sides)
-
-    def placed(side: DataFrame) -> DataFrame:
-        rows = side.join(many, "root")
-        slots = F.ceil(F.col("n") / LEAF)
-        return rows.select("root", "n", *attrs, test.band(F.col("size")).alias("band"), F.pmod(F.col("low"), slots).alias("slot"))
-
-    small = [(s if many is None else s.join(many, "root", "left_anti")).select("root", *attrs) for s in sides]
-    pick = lambda x: (x[0], x[0] if own else x[1])
-    order = (F.col("l.item") < F.col("r.item")) if own else (F.col("l.item") != F.col("r.item"))
-
-    def joined(a: DataFrame, b: DataFrame, on: list[tuple[str, str]], extra: Column) -> DataFrame:
-        same = extra & test.possible()
-        for x, y in on:
-            same = (F.col(f"l.{x}") == F.col(f"r.{y}")) & same
-        return a.alias("l").join(b.hint("merge").alias("r"), same)
-
-    a, b = pick(small)
-    # plain columns only: the loop over pairs must stay small enough to be compiled
-    ends = [F.least("l.item", "r.item").alias("a"), F.greatest("l.item", "r.item").alias("b")]
-    counted = lambda rows: rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("roots"))
-    found = joined(a, b, [("root", "root")], order).select(*ends)
-    if many is None:
-        return counted(found)
-    # roots of many records: bands, then nodes, then records
-    large = [placed(s).select("root", "band", "slot", *attrs) for s in sides]
-    a, b = pick([t.groupBy("root", "band").agg(*_node()) for t in large])
-    first = F.col("l.band") <= F.col("r.band") if own else F.lit(True)
-    bands = joined(a, b, [("root", "root")], first).select(
-        F.col("l.root").alias("root"), F.col("l.band").alias("band_a"), F.col("r.band").alias("band_b")
-    )
-    a, b = pick([t.groupBy("root", "band", "slot").agg(*_node()) for t in large])
-    first = ((F.col("l.band_a") < F.col("l.band_b")) | (F.col("l.slot") <= F.col("r.slot"))) if own else F.lit(True)
-    step = bands.join(a.hint("merge").withColumnRenamed("band", "band_a"), ["root", "band_a"])
-    nodes = joined(step, b, [("root", "root"), ("band_b", "band")], first).select(
-        F.col("l.root").alias("root"), "band_a", "band_b", F.col("l.slot").alias("slot_a"), F.col("r.slot").alias("slot_b")
-    )
-    a, b = pick(large)
-    step = nodes.join(a.hint("merge").withColumnsRenamed({"band": "band_a", "slot": "slot_a"}), ["root", "band_a", "slot_a"])
-    one_node = (F.col("l.band_a") == F.col("l.band_b")) & (F.col("l.slot_a") == F.col("l.slot_b"))
-    first = (order | ~one_node) if own else order
-    pairs = joined(step, b, [("root", "root"), ("band_b", "band"), ("slot_b", "slot")], first)
-    return counted(found.unionByName(pairs.select(*ends)))
+    kept = followed(met_nodes(nodes_of(left, test), None if own else nodes_of(right, test)), test)
+    once = (F.col("l.band") != F.col("r.band")) | (F.col("l.slot") != F.col("r.slot"))
+    rows = kept.select(once.alias("apart"), F.col("r.members").alias("ys"), F.explode("l.members").alias("x"))
+    rows = rows.select("apart", "x", F.explode("ys").alias("y"))
+    order = (F.col("apart") | (F.col("x.item") < F.col("y.item"))) if own else (F.col("x.item") != F.col("y.item"))
+    rows = rows.where(order & test.possible("x", "y"))
+    swap = F.col("x.item") < F.col("y.item")
+    return rows.select(
+        F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b"),
+        F.when(swap, F.col("x.most")).otherwise(F.col("y.most")).alias("size_a"), F.when(swap, F.col("y.most")).otherwise(F.col("x.most")).alias("size_b"),
+    )
+
+
+def forest_of(records: DataFrame, test: SetOverlap) -> DataFrame:
+    """Roots of records (item, size, bits, b0..., ranked), ``ranked`` their shared tokens (df, token) from the rarest on.
+
+    The first ``MEET`` tokens that two similar sets share cannot lie so far back in either that fewer than the needed ones would
+    follow, so a record needs no roots behind that place.  ``reach`` counts the shared tokens from a root on.
+    """
+    need, s = test.at_least(F.col("size")), F.size("ranked")
+    first = F.least(s, (s - need + MEET).cast("int"))
+    plain = ["item", "size", "bits", *BITS]
+    rows = records.select(*plain, s.alias("s"), F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "x"))
+    return rows.select(F.col("x.token").alias("root"), F.col("x.df").alias("most_members"), (F.col("s") - F.col("at")).alias("reach"), *plain)
+
+
+def ranked_records(sets: DataFrame, test: SetOverlap) -> DataFrame:
+    """(item, size, bits, b0..., ranked) of the sets (item, size, tokens exploded to rows) that share enough tokens to have a partner."""
+    rows = sets.where(F.size("tokens") > 0).select("item", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = rows.join(shared, "token").repartition("item").groupBy("item", "size").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"), *bit_columns(F.col("token")))
+    bits = None
+    for b in BITS:
+        bits = F.bit_count(b) if bits is None else bits + F.bit_count(b)
+    # tokens outside ``ranked`` are shared with nobody: each counts as a bit that no other has
+    records = ranked.where(F.size("ranked") >= test.at_least(F.col("size")))
+    return records.select("item", "size", (bits + F.col("size") - F.size("ranked")).alias("bits"), *BITS, "ranked")
 
 
 def similar_sets(sets: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b, overlap) with a < b of sets whose shared tokens / all tokens of both are at least ``least``.
 
     ``sets`` has (item BIGINT, tokens ARRAY<BIGINT>): a set per row, tokens distinct hashes.  Empty and null sets have no
-    partner.  A set whose tokens occur nowhere else takes no further part, and of the others only the rarest tokens are
-    roots: a partner that misses them all cannot share enough.
+    partner, and a set whose tokens occur nowhere else takes no further part.
     """
-    sets = sets.where(F.size("tokens") > 0)
-    rows = sets.select("item", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = (
-        rows.join(shared, "token")
-        .groupBy("item", "size")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"), F.min("token").alias("low"), *bit_columns(F.col("token")))
-    )
-    # overlap with a partner is at least least * size; all but that many (less one) of the shared tokens are roots
-    need = F.ceil(F.lit(least) * F.col("size") - 1e-9)
-    prefix = (F.size("ranked") - need + 1).cast("int")
-    records = ranked.withColumn("prefix", prefix).where("prefix > 0")
-    bits = None
-    for b in BITS:
-        bits = F.bit_count(b) if bits is None else bits + F.bit_count(b)
-    # tokens outside ``ranked`` are shared with nobody: the bitmap, its count and the size may leave them out of the overlap
-    records = records.select(
-        "item", "size", "low", *BITS, (bits + F.col("size") - F.size("ranked")).alias("bits"), F.slice("ranked.token", F.lit(1), F.col("prefix")).alias("roots")
-    )
-    records = cut(records, "records")
-    forest = records.select(F.explode("roots").alias("root"), "item", "size", "bits", "low", *BITS)
-    candidates = dual_traversal(forest, None, SetOverlap(least))
-    # what two records share is among the roots of both, or behind the last root of one: there it has less than it needs
-    sizes = [records.select(F.col("item").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab"]
-    candidates = candidates.join(sizes[0], "a").join(sizes[1], "b")
-    behind = F.greatest(*[F.ceil(F.lit(least) * F.col(c) - 1e-9) for c in ("size_a", "size_b")]) - 1
-    enough = F.col("roots") + behind >= F.lit(least / (1 + least)) * (F.col("size_a") + F.col("size_b")) - 1e-9
-    candidates = candidates.where(enough).select("a", "b")
+    test = SetOverlap(least)
+    forest = forest_of(cut(ranked_records(sets, test), "records"), test)
+    met = dual_traversal(forest, None, test).groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max(F.col("size_a") + F.col("size_b")).alias("together"))
+    candidates = met.where(F.col("met") >= F.least(F.lit(MEET), test.needed(F.col("together")))).select("a", "b")
     a = sets.select(F.col("item").alias("a"), F.col("tokens").alias("tokens_a"))
     b = sets.select(F.col("item").alias("b"), F.col("tokens").alias("tokens_b"))
     both = candidates.join(a, "a").join(b, "b").withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -213,7 +214,7 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
     marked = (
         texts.select("item", F.length("text").alias("size"), F.explode(F.when(F.length("text") > 1, grams).otherwise(F.array(F.xxhash64("text")))).alias("token"))
         .groupBy("item", "size")
-        .agg(F.min("token").alias("low"), *bit_columns(F.col("token")))
+        .agg(*bit_columns(F.col("token")))
     )
     bits = None
     for b in BITS:
@@ -234,6 +235,12 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
         return F.xxhash64(n, i, F.substring("text", start, size))
 
     index = texts.select("item", n.alias("size"), F.explode(F.array_distinct(F.transform(parts, kept))).alias("root"))
+
+    def planted(rows: DataFrame) -> DataFrame:
+        """Rows with the number of records that have their root, and with the bitmap of their own."""
+        sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("most_members"))
+        return rows.join(sizes.hint("merge"), "root").join(marked, "item").withColumn("reach", F.lit(0))
+
     shifts = F.sequence(F.lit(-edits), F.lit(edits))
 
     def probed(less: Column) -> Column:
@@ -249,10 +256,10 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
     roots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), probed))
     probe = texts.select("item", n.alias("size"), F.explode(F.array_distinct(roots)).alias("root"))
     marked = cut(marked, "marked").hint("merge")
-    candidates = dual_traversal(cut(probe, "probe").join(marked, "item"), cut(index, "index").join(marked, "item"), Edits(edits))
+    candidates = dual_traversal(planted(cut(probe, "probe")), planted(cut(index, "index")), Edits(edits)).select("a", "b").distinct()
     a = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
-    both = candidates.select("a", "b").join(a, "a").join(b, "b")
+    both = candidates.join(a, "a").join(b, "b")
     return both.where(F.levenshtein("text_a", "text_b", edits).between(0, edits)).select("a", "b")
 
 

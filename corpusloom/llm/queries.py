@@ -37,6 +37,13 @@ def p1_groups(spark, folder):
     return _of("units", units.groups()).unionByName(_of("pcg_term", terms.groups()))
 
 
+@REGISTRY.add("p1_links")
+def p1_links(spark, folder):
+    """Pairs of linked classes; p1_groups says which records are in them."""
+    units, terms = copies.unit_copies(_units(spark, folder)), copies.term_copies(_terms(spark, folder))
+    return _of("units", units.linked_classes()).unionByName(_of("pcg_term", terms.linked_classes()))
+
+
 @REGISTRY.add("p2_found")
 def p2_found(spark, folder):
     """Pairs of units and of glossary entries that look the same but differ in their characters."""

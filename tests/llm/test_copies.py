@@ -42,10 +42,10 @@ def made(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("leaf", [1024, 2])
-def test_units_against_all_pairs(spark, monkeypatch, leaf):
-    monkeypatch.setattr(near_duplicates, "LEAF", leaf)
-    rows = made(leaf)
+@pytest.mark.parametrize("node", [1024, 16, 1])
+def test_units_against_all_pairs(spark, monkeypatch, node):
+    monkeypatch.setattr(near_duplicates, "NODE", node)
+    rows = made(node)
     want = set()
     for (a, x), (b, y) in itertools.combinations(rows, 2):
         s, t = runs(x), runs(y)
@@ -67,10 +67,10 @@ def edits(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("leaf", [1024, 2])
-def test_terms_against_all_pairs(spark, monkeypatch, leaf):
-    monkeypatch.setattr(near_duplicates, "LEAF", leaf)
-    draw = random.Random(leaf)
+@pytest.mark.parametrize("node", [1024, 16, 1])
+def test_terms_against_all_pairs(spark, monkeypatch, node):
+    monkeypatch.setattr(near_duplicates, "NODE", node)
+    draw = random.Random(node)
     words = ["runway", "glide", "path", "angle", "fuel", "beacon", "ab"]
     rows = []
     for k in range(80):
@@ -111,6 +111,37 @@ def test_spellings(spark):
     assert pairs(copies.term_spellings(terms(spark, *entries))) == {(1, 2), (2, 3), (6, 7), (1, 8), (2, 8), (3, 8)}
 
 
+def test_small_sets_against_all_pairs(spark):
+    draw = random.Random(9)
+    rows = [(k, draw.sample(range(30), draw.randrange(9))) for k in range(150)] + [(200, None), (201, [])]
+    df = spark.createDataFrame(rows, "item long, tokens array<long>")
+    for least in (0.3, 0.5, 0.8):
+        want = {(a, b, len(set(x) & set(y))) for (a, x), (b, y) in itertools.combinations(rows[:150], 2) if x and y and len(set(x) & set(y)) / len(set(x) | set(y)) >= least}
+        assert pairs(near_duplicates.similar_sets(df, least)) == want and want
+
+
+def test_trees_are_built_and_pruned_at_every_size(spark):
+    """On the test tables, with production parameters: pairs of nodes are formed below the roots and most are not followed."""
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm.common import joined_text, latest
+
+    folder = Path("/root/testdata/sf0.01")
+    if not folder.exists():
+        pytest.skip("needs the test tables")
+    rows = latest(spark.read.parquet(f"{folder}/units.parquet"), "unit_key", "collected_at", "texts").select("unit_key", F.lower(joined_text(F.col("texts"))).alias("text"))
+    words = rows.select(F.col("unit_key").alias("item"), F.regexp_extract_all("text", F.lit(copies.WORD), F.lit(0)).alias("w")).where("size(w) >= 50")
+    sets = words.select("item", F.array_distinct(F.expr("transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))")).alias("tokens"))
+    test = near_duplicates.SetOverlap(0.5)
+    nodes = near_duplicates.nodes_of(near_duplicates.forest_of(near_duplicates.ranked_records(sets, test), test), test).cache()
+    assert nodes.where("size(members) > 1").count() > 100
+    met = near_duplicates.met_nodes(nodes, None)
+    formed, kept = met.count(), near_duplicates.followed(met, test).count()
+    assert formed > 10_000 and 0 < kept < formed / 3
+
+
 def test_groups_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.item: r.group for r in near_duplicates.groups_of(links).collect()}
