@@ -123,6 +123,12 @@ def p8_scores(spark, folder):
     return truncation.truncation_scores(_documents(spark, folder))
 
 
+@REGISTRY.add("p8_evidence")
+def p8_evidence(spark, folder):
+    """Documents whose length decides: at the base rate of their ending alone they would be judged otherwise."""
+    return truncation.truncation_scores(_documents(spark, folder)).where("by_length").select("doc_id", "source", "at_limit", "censored", "ending", "score")
+
+
 @REGISTRY.add("p8_rates")
 def p8_rates(spark, folder):
     """How many texts each source has, and how many and which share of them were cut."""

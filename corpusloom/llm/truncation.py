@@ -4,8 +4,9 @@ Two kinds of evidence meet as log odds.  Lengths: for each source and each candi
 right-censored log-normal distribution of lengths is fitted by maximum likelihood; the texts found at a limit beyond what the
 fit expects there were censored, which gives a posterior for every text of that length.  Endings: what the last line looks
 like, held against the lines before the last one of all texts, which are whole: which first words begin sentences or open
-ended lines, which words end the latter, after which words a number goes on behind its point.  A clear ending decides by
-itself; an unclear one is decided by the length.
+ended lines, which words end the latter, after which words a number goes on behind its point.  A text that ends whole is whole at
+any length.  All other endings are log odds counted in the same texts; the length adds its own, so an unclear ending is decided
+by the length.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ BETWEEN = r"\s+(?<=[.!?][\"'”’»)\]]{0,2}\s{1,8})"
 BLANKS = " \t\n\r\f\v\u00a0"
 LIST = r"^\s*[-*•]\s+"
 LABEL = r"^\s*(?:\(?[0-9A-Za-z]{1,4}[.)]\s+|#+\s+)+"
-SURE, LIKELY = 12.0, 7.0
+SURE = 12.0  # log odds of a whole ending, and of a text that is nothing but the mark of a break
 WINDOW = 4  # lengths up to this many below a limit count as at the limit: a cut may drop blanks or a part of a character
-BASE = 0.02  # share of texts cut at no limit of their own
 
 
 def _words(line: Column) -> Column:
@@ -110,7 +110,7 @@ def endings(documents: DataFrame) -> DataFrame:
         F.lower(F.concat_ws(" ", F.get(words, F.size(words) - 2), F.get(words, F.size(words) - 1))).alias("end2"),
         F.when(labelled, F.split_part("line", F.lit(":"), F.lit(1))).alias("label"),
         F.when(labelled, F.regexp_replace("line", r"\d+", "9")).alias("shape"),
-        F.lower(F.regexp_extract("line", r"(\S+) \d[\d,]*\.$", 1)).alias("number"),
+        F.nullif(F.lower(F.regexp_extract("line", r"(\S+) \d[\d,]*\.$", 1)), F.lit("")).alias("number"),
     )
 
 
@@ -146,12 +146,13 @@ def _posteriors(batches):
         yield pd.DataFrame(out, columns=["source", "unit", "length", "mean", "sd", "censored"])
 
 
-def length_limits(lengths: DataFrame, least: int = 5, ratio: float = 5.0) -> DataFrame:
+def length_limits(lengths: DataFrame, least: int = 5, deviations: float = 6.0) -> DataFrame:
     """(source, unit, length, mean, sd, censored): candidate limits of rows (source, chars, bytes) and the posterior of texts there.
 
-    A length is a candidate if at least ``least`` texts, and half a percent of the source's, lie at most ``WINDOW`` below it,
-    ``ratio`` times as many as the lengths before lead one to expect, and no more lie just above.  Lengths are counted before
-    they meet, so the window sees one row per source and length.
+    A length is a candidate if at least ``least`` texts lie at most ``WINDOW`` below it, ``deviations`` standard deviations of a
+    Poisson count above what the lengths before lead one to expect and above those just beyond it, at least a quarter of the
+    excess at the length itself.  That holds alike for sources of any size.  Lengths are counted before they meet, so the
+    window sees one row per source and length.
     """
     unit = F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(u).alias("length")) for u in ("chars", "bytes")]))
     counts = lengths.select("source", unit.alias("u")).where("u.length > 0").groupBy("source", "u.unit", "u.length").agg(F.count(F.lit(1)).alias("n"))
@@ -165,36 +166,61 @@ def length_limits(lengths: DataFrame, least: int = 5, ratio: float = 5.0) -> Dat
     })
     all_ = counts.groupBy("source", "unit").agg(F.sum("n").alias("all"), F.sum(F.col("n") * log).alias("all1"), F.sum(F.col("n") * log * log).alias("all2"))
     rows = rows.join(all_, ["source", "unit"])
-    usual = F.lit(ratio) * (1 + F.col("under") * WINDOW / (9 * WINDOW + 1))
-    rows = rows.where((F.col("at") >= F.greatest(F.lit(least), F.col("all") * 0.005)) & (F.col("at") >= usual) & (F.col("over") * 4 <= F.col("at")) & (F.col("n") * 4 >= F.col("at")))
+    usual = F.col("under") * WINDOW / (9 * WINDOW + 1)
+    above = lambda count: F.col("at") >= count + deviations * F.sqrt(count + 1)
+    excess = F.col("n") - usual / WINDOW >= (F.col("at") - usual) / 4
+    rows = rows.where((F.col("at") >= least) & above(usual) & above(F.col("over")) & excess)
     rows = rows.select("source", "unit", "length", F.col("all").alias("n"), F.col("at"), (F.col("all1") - F.col("at1")).alias("s1"), (F.col("all2") - F.col("at2")).alias("s2"))
     return rows.mapInPandas(_posteriors, "source string, unit string, length long, mean double, sd double, censored double")
 
 
+def _known(ends: DataFrame, facts: DataFrame) -> DataFrame:
+    """``ends`` with the counts ``x_yes`` and ``x_no`` of what whole lines say about them, null where no line says anything.
+
+    The keys of all facts of a row meet the facts in one join, absent keys in none; sizes are at most some hundred by their making, so they are broadcast.
+    """
+    folded = {"start1": ("start2", F.substring_index("key", " ", 2)), "end1": ("end2", F.substring_index("key", " ", -1))}
+    ones = [facts.where(F.col("fact") == two).groupBy(F.lit(one).alias("fact"), key.alias("key")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")) for one, (two, key) in folded.items()]
+    words = facts.where("fact <> 'size'").unionByName(ones[0]).unionByName(ones[1])
+    names = ["start1", "start2", "end1", "end2", "number"]
+    keys = F.array(*[F.when(F.col(x).isNotNull(), F.struct(F.lit(x).alias("fact"), F.col(x).alias("key"))) for x in names])
+    met = ends.select("row", F.explode(F.array_compact(keys)).alias("k")).select("row", "k.fact", "k.key").join(words, ["fact", "key"])
+    count = lambda x, side: F.max(F.when(F.col("fact") == x, F.col(side))).alias(f"{x}_{side}")
+    told = met.groupBy("row").agg(*[count(x, side) for x in names for side in ("yes", "no")])
+    sizes = facts.where("fact = 'size'").select(F.col("key").alias("size"), F.col("yes").alias("size_yes"), F.col("no").alias("size_no"))
+    return ends.join(told, "row", "left").join(F.broadcast(sizes), "size", "left")
+
+
 def truncation_scores(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, at_limit, censored, ending, score) of rows (doc_id, source, text); above 0 a text counts as cut.
+    """(doc_id, source, at_limit, censored, ending, score, by_length) of rows (doc_id, source, text); above 0 a text counts as cut.
 
-    ``at_limit`` and ``censored`` give the limit that the length lies at, if any, and the posterior there; ``ending`` the log
-    odds of the ending.  A text that ends with a whole sentence, title, list entry, table row, reference or bracketed line
-    scores below 0 at any length, and so does a null or empty text.  A null source is a source of its own.
+    ``at_limit`` and ``censored`` give the limit that the length lies at, if any, and the posterior there (elsewhere the share of
+    open endings among texts at no limit); ``ending`` the log odds of the ending; ``by_length`` whether the text would be judged
+    otherwise at another length.  A text that ends with a whole sentence, title, list entry, table row, reference or bracketed
+    line scores below 0 at any length, and so does a null or empty text.  A null source is a source of its own.
     """
     facts = fixed(line_facts(documents))
-    ends = cut(endings(documents), "endings")
+    ends = cut(endings(documents).withColumn("row", F.monotonically_increasing_id()), "endings")
     # limits: a row for each length at a limit
     limits = length_limits(ends)
     spread = limits.select("source", "unit", F.col("length").alias("limit"), "censored", F.explode(F.sequence(F.col("length") - WINDOW + 1, F.col("length"))).alias("length"))
-    best = spread.groupBy("source", "unit", "length").agg(F.max(F.struct("censored", "limit")).alias("best"))
-    best = fixed(best)
-    rows = ends
+    best = fixed(spread.groupBy("source", "unit", "length").agg(F.max(F.struct("censored", "limit")).alias("best")))
+    # counts of the whole: how rare a word at an end, an open bracket, a mark or a row without its end are in what is whole
+    end1 = facts.where("fact = 'end2'").groupBy(F.substring_index("key", " ", -1).alias("word")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    n = end1.agg(F.coalesce(F.sum("yes"), F.lit(0)).alias("ends"), F.count_if((F.col("yes") == 1) & (F.col("no") == 0)).alias("once")).first()
+    closed = F.col("closed")
+    c = ends.agg(
+        F.count_if(closed & ~F.col("unbalanced")).alias("balanced"), F.count_if(closed & F.col("unbalanced")).alias("unbalanced"),
+        F.count_if(closed & ~F.col("abbreviated")).alias("plain"), F.count_if(closed & F.col("abbreviated")).alias("abbreviated"),
+        F.count_if(closed & ~F.col("marked")).alias("unmarked"), F.count_if(closed & F.col("marked")).alias("marked"),
+        F.count_if("row_whole").alias("rows"), F.count_if(~F.col("row_whole")).alias("broken"),
+    ).first()
+    ratio = lambda yes, no: F.lit(math.log((yes + 0.5) / (no + 0.5)))
+    # what whole lines say about this one
+    rows = _known(ends, facts)
     for unit in ("chars", "bytes"):
         own = best.where(F.col("unit") == unit).select("source", F.col("length").cast("int").alias(unit), F.col("best").alias(f"of_{unit}"))
         rows = rows.join(own, ["source", unit], "left")
-    # what whole lines say about this one
-    for fact in ("start1", "start2", "size", "end1", "end2", "number"):
-        # counts by one word are sums of those by two
-        key = {"start1": F.substring_index("key", " ", 2), "end1": F.substring_index("key", " ", -1)}.get(fact, F.col("key"))
-        own = facts.where(F.col("fact") == fact.replace("1", "2")).groupBy(key.alias(fact)).agg(F.sum("yes").alias(f"{fact}_yes"), F.sum("no").alias(f"{fact}_no"))
-        rows = rows.join(own, fact, "left")
     shapes = ends.where("label is not null").groupBy("label", "shape").agg(F.count(F.lit(1)).alias("same"))
     labels = shapes.groupBy("label").agg(F.sum("same").alias("labelled"), F.max("same").alias("usual"))
     rows = rows.join(shapes.join(labels, "label"), ["label", "shape"], "left")
@@ -206,22 +232,29 @@ def truncation_scores(documents: DataFrame) -> DataFrame:
         yes, no = zero(f"{fact}_yes"), zero(f"{fact}_no")
         return F.when(yes + no >= least, odds(no, yes)).otherwise(otherwise)
 
-    ender = told("end2", 3, told("end1", 1, F.lit(SURE)))
+    # a word that whole lines never have: as rare at their ends as words seen there once
+    ender = told("end2", 3, told("end1", 1, ratio(n.ends, n.once)))
     starter = told("start2", 3, told("start1", 3, told("size", 0, F.lit(0.0))))
+    # the facts about open lines speak for a sentence being cut, not against it
+    words = starter + F.when(starter > 0, F.greatest(ender, F.lit(0.0))).otherwise(ender) + F.when(F.col("marked"), ratio(c.unmarked, c.marked)).otherwise(0.0)
     ending = (
         F.when(F.col("empty"), F.when(F.col("marked"), SURE).otherwise(-SURE))
-        .when(F.col("row_whole").isNotNull(), F.when(F.col("row_whole"), -SURE).otherwise(SURE))
+        .when(F.col("row_whole").isNotNull(), F.when(F.col("row_whole"), -SURE).otherwise(ratio(c.rows, c.broken)))
         .when(F.col("bracketed"), -SURE)
-        .when(F.col("closed") & (F.col("abbreviated") | F.col("unbalanced")), LIKELY)
-        .when(F.col("closed") & (F.col("number") != "") & (zero("number_yes") > zero("number_no")), LIKELY)
+        .when(F.col("closed") & F.col("unbalanced"), ratio(c.balanced, c.unbalanced))
+        .when(F.col("closed") & F.col("abbreviated"), ratio(c.plain, c.abbreviated))
+        .when(F.col("closed") & (zero("number_yes") > zero("number_no")), odds(zero("number_yes"), zero("number_no")))
         .when(F.col("closed"), -SURE)
-        .when(F.col("unbalanced"), SURE)
-        .when(F.col("labelled") >= 5, F.when(F.col("same") * 5 >= F.col("usual"), -SURE).otherwise(SURE))
-        .when(starter > 0, SURE)
-        .otherwise(F.greatest(F.least(2 * ender, F.lit(SURE)), F.lit(-SURE)))
+        .when(F.col("unbalanced"), F.greatest(words, F.lit(0.0)) + ratio(c.balanced, c.unbalanced))
+        .when((F.col("labelled") >= 5) & (F.col("same") * 5 >= F.col("usual")), -SURE)
+        .when(F.col("labelled") >= 5, odds(F.col("labelled"), F.col("same") - 1))
+        .otherwise(words)
     )
     where = F.greatest("of_chars", "of_bytes")
-    prior = F.coalesce(where["censored"], F.lit(BASE))
-    prior = F.greatest(prior, F.lit(BASE))
-    score = F.log(prior / (1 - prior)) + ending
-    return rows.select("doc_id", F.col("named").alias("source"), where["limit"].alias("at_limit"), prior.alias("censored"), ending.alias("ending"), score.alias("score"))
+    rows = cut(rows.select("doc_id", F.col("named").alias("source"), where["limit"].alias("at_limit"), where["censored"].alias("posterior"), ending.alias("ending")), "judged")
+    off = rows.where("at_limit is null").agg(F.count_if(F.col("ending") > 0).alias("open"), F.count(F.lit(1)).alias("all")).first()
+    base = (off.open + 1) / (off.all + 2)
+    prior = F.greatest(F.coalesce("posterior", F.lit(base)), F.lit(base))
+    score = F.log(prior / (1 - prior)) + F.col("ending")
+    elsewhere = math.log(base / (1 - base)) + F.col("ending")
+    return rows.select("doc_id", "source", "at_limit", prior.alias("censored"), "ending", score.alias("score"), ((score > 0) != (elsewhere > 0)).alias("by_length"))

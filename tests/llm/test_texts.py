@@ -177,6 +177,21 @@ def test_truncation(spark):
     assert truncation.truncation_scores(documents(spark, *rows).limit(0)).count() == 0
 
 
+def test_length_decides_an_unclear_ending(spark):
+    """The same ending, seen as open half the time, counts as cut at a length where a source cuts and not elsewhere."""
+    draw = random.Random(8)
+    item = lambda: f"Fuel gauge {draw.choice(['check', 'report', 'value'])}"
+    body = lambda n: "\n".join(draw.choice([item() + " is made here.", item(), item() + " today"]) for _ in range(n))
+    rows = [(k, "s", body(draw.randrange(1, 40)) + "\nThe crew lands.") for k in range(400)]
+    text = lambda length, end: (body(40) + "\n")[: length - len(end) - 1] + "\n" + end
+    rows += [(1000 + k, "s", text(500, "The crew lan")) for k in range(40)] + [(2000, "s", text(500, "Fuel gauge check")), (2001, "s", text(350, "Fuel gauge check")), (2002, "s", text(500, "The crew lands."))]
+    got = {r.doc_id: r for r in truncation.truncation_scores(documents(spark, *rows)).collect()}
+    assert got[2000].at_limit == 500 and got[2001].at_limit is None
+    assert got[2000].ending == got[2001].ending
+    assert got[2000].score > 0 > got[2001].score and got[2000].by_length and not got[2001].by_length
+    assert got[2002].score < 0 and not got[2002].by_length
+
+
 def test_censored_fit_finds_the_true_distribution():
     draw = random.Random(4)
     values = [draw.lognormvariate(6, 0.8) for _ in range(20_000)]
