@@ -22,9 +22,12 @@ from corpusloom.scratch import cut
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ")) | dict(zip("ονϲϳ", "ovcj"))
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХҮԌԚԜӀ", "ABESIJKMHOPCTXYGQWI")) | dict(zip("аеосрухѕіјһԁԛԝӏү", "aeocpyxsijhdqwly"))
 ARMENIAN = {"Օ": "O", "օ": "o"}
+CHEROKEE = dict(zip("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEHJKLMPRSTVWZ"))
+COPTIC = dict(zip("ⲀⲂⲈⲎⲔⲘⲚⲞⲢⲤⲦⲨⲬ", "ABEHKMNOPCTYX")) | dict(zip("ⲟⲣⲥ", "opc"))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
 # Hyphens that look like the ASCII one. Longer dashes and the minus sign look different.
 HYPHENS = "‐‑⁃﹣－"
-LOOK_ALIKE = GREEK | CYRILLIC | ARMENIAN | dict.fromkeys(HYPHENS, "-")
+LOOK_ALIKE = GREEK | CYRILLIC | ARMENIAN | CHEROKEE | COPTIC | LISU | {"ɡ": "g"} | dict.fromkeys(HYPHENS, "-")
 
 PLAIN = r"\x09-\x0D\x20-\x7E"
 PIECES = f"[{PLAIN}]+(?![^{PLAIN}])|(?s:.)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,20 +14,21 @@ from corpusloom.llm.tokens import token_sizes
 from corpusloom.scratch import cut
 
 BLOCK = 2048  # items that are placed together; they are neighbours on the curve
-OPEN = 256  # containers that stay open from one block to the next
 PACKED = "spec_name string, capacity_tokens int, container string, doc_id bigint, part_no int, first_token bigint, n_tokens bigint"
 
 
 class Packer:
     """Best fit by falling size, block by block along the curve, for one capacity.
 
-    Memory is bounded by the block and the open containers: of these the fullest are closed when there are too many.
+    A container stays open as long as it has room.  Memory is that of the block and a number per open container of this range
+    of the curve; open containers are kept by their room, so finding one takes as long as there are different rooms.
     """
 
     def __init__(self, spec: str, capacity: int, prefix: str):
         self.spec, self.capacity, self.prefix = spec, capacity, prefix
         self.block: list[tuple[int, int, int, int]] = []  # size, document, part, first token
-        self.free: list[tuple[int, int]] = []  # room and number of the open containers, in order
+        self.rooms: list[int] = []  # rooms that open containers have, in order
+        self.free: dict[int, list[int]] = defaultdict(list)  # their numbers
         self.made = 0
         self.out: list[tuple] = []
 
@@ -48,18 +50,21 @@ class Packer:
     def place(self) -> None:
         """Place the items of the block."""
         for item in sorted(self.block, key=lambda x: (-x[0], x[1])):
-            at = bisect_left(self.free, (item[0], -1))
-            if at < len(self.free):
-                room, number = self.free.pop(at)
+            at = bisect_left(self.rooms, item[0])
+            if at < len(self.rooms):
+                room = self.rooms[at]
+                number = self.free[room].pop()
+                if not self.free[room]:
+                    del self.free[room], self.rooms[at]
             else:
                 room, number = self.capacity, self.made
                 self.made += 1
             self._put(number, item)
-            if room > item[0]:
-                insort(self.free, (room - item[0], number))
+            if left := room - item[0]:
+                if left not in self.free:
+                    insort(self.rooms, left)
+                self.free[left].append(number)
         self.block = []
-        if len(self.free) > OPEN:
-            del self.free[: len(self.free) - OPEN]
 
     def rows(self) -> pd.DataFrame:
         """What was placed since the last call."""
@@ -74,11 +79,11 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     packer: Packer | None = None
     for pdf in batches:
         for spec, capacity, doc, size in zip(pdf.spec_name, pdf.capacity_tokens, pdf.doc_id, pdf.n_tokens, strict=True):
-            if packer is None or packer.spec != spec:
+            if packer is None or (packer.spec, packer.capacity) != (spec, capacity):
                 if packer is not None:
                     packer.place()
                     yield packer.rows()
-                packer = Packer(spec, int(capacity), f"{spec}-{task}")
+                packer = Packer(spec, int(capacity), f"{spec}-{capacity}-{task}")
             packer.add(int(doc), int(size))
         if packer is not None:
             yield packer.rows()
@@ -93,7 +98,7 @@ def pack(documents: DataFrame, specs: DataFrame, vocabulary: str | None = None)
     Every document comes out once per spec, in parts only if it has more tokens than the capacity; a null or empty text takes
     no room but is placed.  Texts are measured once and written; only sizes and curve places are sorted.  Each range of the
     curve is packed by itself, so a spec has one run of unfilled containers per range.  Rows with a null doc_id are left out.
-    A spec with a null or no capacity packs nothing.
+    A spec with a null or no capacity packs nothing; a name with several capacities is packed for each of them.
     """
     sizes = token_sizes(documents.select("doc_id", "text").where("doc_id is not null"), vocabulary, curve=True)
     sizes = cut(sizes, "sizes")
@@ -104,7 +109,7 @@ def pack(documents: DataFrame, specs: DataFrame, vocabulary: str | None = None)
         return documents.sparkSession.createDataFrame([], PACKED)
     rows = sizes.select(F.explode(F.array(*listed)).alias("s"), "doc_id", "n_tokens", "curve")
     rows = rows.select("s.spec_name", "s.capacity_tokens", "doc_id", "n_tokens", "curve")
-    order = ["spec_name", "curve", "doc_id"]
+    order = ["spec_name", "capacity_tokens", "curve", "doc_id"]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_pack, PACKED)
 
 

@@ -19,6 +19,13 @@ ENDS = (
 )
 
 
+GROUP = 256  # pieces whose sizes are added up together
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, n: acc + n)
+
+
 def boundary_pattern(most: Column) -> Column:
     """Pattern that takes up to ``most`` code points at a time, ending at the strongest boundary there is."""
     half = F.greatest(F.floor(most / 2), F.lit(1)).cast("string")
@@ -43,12 +50,10 @@ def split_texts(texts: DataFrame, key: str) -> DataFrame:
         key, "text", F.when(whole, 0).otherwise(over).alias("over"), F.when(whole, F.array("text")).otherwise(taken).alias("cores")
     )
     sizes = F.transform("cores", lambda c: F.length(c))
-    starts = F.aggregate(
-        sizes,
-        F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("sum")),
-        lambda acc, n: F.struct(F.concat(acc["at"], F.array(acc["sum"])).alias("at"), (acc["sum"] + n).alias("sum")),
-        lambda acc: acc["at"],
-    )
+    # places in two steps, by groups of pieces, so that the time stays near the number of pieces
+    group = F.lit(GROUP)
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("cores") - 1) / GROUP).cast("int")), lambda g: _sum(F.slice("sizes", g * group + 1, group)))
+    starts = F.transform("sizes", lambda _, i: _sum(F.slice("groups", F.lit(1), (i / group).cast("int"))) + _sum(F.slice("sizes", (i / group).cast("int") * group + 1, i % group)))
 
     def piece(core: Column, i: Column) -> Column:
         start, over = F.get("starts", i), F.col("over")
@@ -58,7 +63,7 @@ def split_texts(texts: DataFrame, key: str) -> DataFrame:
         before = F.when((i > 0) & (over > 0), before).otherwise("")
         return F.struct(start.alias("start"), F.length(before).alias("overlap"), F.concat(before, core).alias("piece"))
 
-    rows = rows.withColumn("starts", starts).select(key, F.posexplode(F.transform("cores", piece)).alias("at", "p"))
+    rows = rows.where(F.size("cores") > 0).withColumn("sizes", sizes).withColumn("groups", groups).withColumn("starts", starts).select(key, F.posexplode(F.transform("cores", piece)).alias("at", "p"))
     return rows.select(
         key, (F.col("at") + 1).alias("piece_no"), (F.col("p.start") - F.col("p.overlap")).alias("start_char"), F.col("p.overlap").alias("overlap_chars"), F.col("p.piece").alias("piece")
     )

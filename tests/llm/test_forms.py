@@ -8,7 +8,7 @@ from corpusloom.llm.forms import form_of, one_form
 CASES = {
     None: None, "": "", "​⁠­": "", "plain": "plain", "é": "é", "é": "é", "e‍́x": "éx",
     "ＡＢ　－": "AB -", "ﬁre": "fire", "АВС": "ABC", "Οο": "Oo", "ạ́": "ạ́", "ạ́": "ạ́",
-    "́a": "́a", "x y z": "x y z", "‐‑-": "---", "–−": "–−", "²½°′": "²½°′",
+    "́a": "́a", "x y z": "x y z", "‐‑-": "---", "ᎪꓐⲤ": "ABC", "–−": "–−", "²½°′": "²½°′",
     "\ud55c": "\u1112\u1161\u11ab", "\u1112\u1161\u11ab": "\u1112\u1161\u11ab", "a\x00\x07b\tc\n": "ab\tc\n", "ё": "ë", "Å": "Å", "i̇і": "i̇i",
 }
 

@@ -96,14 +96,14 @@ def test_packing_keeps_everything(spark):
     words = ["runway", "report", "the", "crew", "of", "fuel"]
     rows = [(k, "s", " ".join(draw.choice(words) for _ in range(draw.choice([5, 30, 90, 400, 1500])))) for k in range(600)] + [(900, "s", None), (901, "s", "")]
     docs = documents(spark, *rows)
-    specs = spark.createDataFrame([("small", 128), ("large", 1024), ("none", 0), ("null", None), ("small", 128)], "spec_name string, capacity_tokens int")
+    specs = spark.createDataFrame([("small", 128), ("large", 1024), ("none", 0), ("null", None), ("small", 128), ("small", 200)], "spec_name string, capacity_tokens int")
     packed = packing.pack(docs, specs).cache()
     sizes = {r.doc_id: r.n_tokens for r in tokens.token_sizes(docs).collect()}
     got = packed.collect()
     assert {r.spec_name for r in got} == {"small", "large"}
     room = {}
-    for spec, capacity in (("small", 128), ("large", 1024)):
-        own = [r for r in got if r.spec_name == spec]
+    for spec, capacity in (("small", 128), ("large", 1024), ("small", 200)):
+        own = [r for r in got if (r.spec_name, r.capacity_tokens) == (spec, capacity)]
         parts = {}
         for r in own:
             parts.setdefault(r.doc_id, []).append((r.part_no, r.first_token, r.n_tokens))
@@ -114,11 +114,22 @@ def test_packing_keeps_everything(spark):
             assert sum(p[2] for p in ps) == sizes[k] and (len(ps) == 1 or sizes[k] > capacity)
             assert [p[1] for p in ps] == [sum(q[2] for q in ps[:i]) for i in range(len(ps))]
         assert all(room[r.container] <= capacity for r in own)
-    fill = {r.spec_name: r.fill for r in packing.fill_rates(packed).collect()}
+    assert len({r.container for r in got}) == sum(r.containers for r in packing.fill_rates(packed).collect())
+    fill = {(r.spec_name, r.capacity_tokens): r.fill for r in packing.fill_rates(packed).collect()}
     assert min(fill.values()) > 0.9
     assert packing.pack(docs.limit(0), specs).count() == 0
 
 
+def test_no_container_with_room_is_closed():
+    packer = packing.Packer("s", 100, "s")
+    for k in range(3000):
+        packer.add(k, 60)
+    for k in range(3000, 6000):
+        packer.add(k, 40)
+    packer.place()
+    assert packer.made == 3000 and not packer.rooms
+
+
 def test_mixing_reaches_weights_and_keeps_caps(spark):
     docs = documents(spark, *[(k, "abc"[k % 7 % 3], "word " * (1 + k % 40)) for k in range(3000)], (9000, None, "x"), (9001, "d", None))
     targets = spark.createDataFrame(
@@ -138,6 +149,9 @@ def test_mixing_reaches_weights_and_keeps_caps(spark):
     assert share["m", "gone"] == share["o", "gone"] == share["n", "d"] == 0 and share["n", "c"] == 1
     again = mixing.mix(sizes.repartition(13), mixing.repetition_rates(sizes, targets))
     assert again.exceptAll(used).count() == 0
+    capped = mixing.repetition_rates(sizes, targets, mix_tokens=500).where("mix_name = 'm' and rate > 0")
+    assert abs(capped.selectExpr("sum(rate * source_tokens / target_weight) / count(*)").first()[0] - 500) < 1e-6
+    assert all(r.deviation < 0.02 for r in mixing.shares(sizes, targets).collect())
     assert mixing.shares(sizes.limit(0), targets).agg(F.sum("tokens")).first()[0] == 0
 
 
