@@ -38,6 +38,13 @@ def p4_found(spark, folder):
     return snapshots.snapshot_changes(sections).select("source", "id", "prev_version", "next_version", "change")
 
 
+@REGISTRY.add("p4_feed", _CHANGES + "SELECT source, id, prev_version, next_version, change FROM met WHERE change IS NOT NULL")
+def p4_feed(spark, folder):
+    """The same changes from snapshots fed in turn, the index swapped after each."""
+    sections = load(spark, folder, "cfr_section", "source", "id", "source_version", "canonical_hash", "fetched_at")
+    return snapshots.fed_changes(sections).select("source", "id", "prev_version", "next_version", "change")
+
+
 @REGISTRY.add("p4_values", _CHANGES + "SELECT source, id, prev_version, next_version, change, old_hash, new_hash, old_title, new_title FROM met WHERE change IS NOT NULL")
 def p4_values(spark, folder):
     sections = load(spark, folder, "cfr_section", "source", "id", "source_version", "canonical_hash", "fetched_at", "title")

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.snapshots import CHANGES, OUT, SnapshotIndex, snapshot_change_values, snapshot_changes
+from corpusloom.operators.snapshots import CHANGES, OUT, SnapshotIndex, fed_changes, snapshot_change_values, snapshot_changes
 
 SCHEMA = "source string, id string, source_version string, canonical_hash string, fetched_at timestamp, title string, change string, was int"
 DAY = lambda d: datetime(2026, 1, d)
@@ -72,6 +72,21 @@ def test_probe_needs_no_shuffle(spark):
     assert "Exchange" not in plan
 
 
+def test_history_needs_one_join_and_no_shuffle_after_the_index(spark):
+    from corpusloom.operators.snapshots import buckets_for
+
+    rows = table(spark, *[("s", i, str(v), f"{i}{v // 3}", DAY(v)) for v in range(1, 9) for i in "abc"])
+    plan = snapshot_changes(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "Exchange" not in plan
+    assert [buckets_for(n, 8) for n in (0, 10, 120_000, 10**7, 10**12)] == [1, 1, 3, 20, 20_000]
+
+
+def test_fed_in_turn_is_the_same(spark):
+    rows = table(spark, *[(s, i, str(v), f"{i}{v // 2}", DAY(v)) for v in range(1, 6) for s in "st" for i in "abcd" if (v + ord(i)) % 3 and (s == "s" or v < 4)])
+    assert found(fed_changes(rows)) == found(snapshot_changes(rows)) != []
+    assert found(fed_changes(rows.limit(0))) == []
+
+
 def test_values_of_changed_rows(spark):
     rows = table(spark, ("s", "a", "1", "x", DAY(1)), ("s", "a", "2", "y", DAY(2)), ("s", "b", "2", "y", DAY(2)))
     got = {r.id: (r.old_title, r.new_title, r.old_hash, r.new_hash) for r in snapshot_change_values(rows, "title").collect()}
