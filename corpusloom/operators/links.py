@@ -5,32 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Forms of a citation in text.
-SECTION_REF = r"§+\s*([0-9]+[a-z]?\.[0-9]+[a-z]?)"
-SECTION_AND = r"§§\s*[0-9]+[a-z]?\.[0-9]+[a-z]?(?:\([0-9A-Za-z]+\))*(?:,| and| or|, and|, or)\s+([0-9]+[a-z]?\.[0-9]+[a-z]?)"
-CFR_REF = r"14 CFR (?:section |§ ?)?([0-9]+[a-z]?\.[0-9]+[a-z]?)"
-PART_REF = r"(?:14 CFR |\b)[Pp]arts? ([0-9]+[a-z]?)\b"
-AIM_REF = r"\bAIM,?\s+(?:[Pp]ara(?:graph|\.)?\s+)?([0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3})"
-ITEMS_AFTER_SEE = r"(?:See Also|See)\n((?:- [^\n]+\n?)+)"
-
-
-def all_matches(text: Column, pattern: str) -> Column:
-    """First group of every match; null counts as no match."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.array().cast("array<string>"))
+# Numbers of sections, parts and paragraphs, what stands between two of a list, and the forms of a citation in text.
+SECTION = r"[0-9]+[a-z]?\.[0-9]+[a-z]?"
+PART = r"[0-9]+[a-z]?"
+PARAGRAPH = r"[0-9]+(?:-[0-9]+)+"
+SUFFIX = r"(?:\([0-9A-Za-z]+\))*"
+BETWEEN = r"(?:\s*[,;]\s*(?:(?:and/or|and|or)\s+)?|\s+(?:and/or|and|or|through|to)\s+)"
+SECTION_REF = rf"§\s*({SECTION})"
+SECTION_LIST = rf"(?:§§|\b[Ss]ections|14 CFR(?:\s+sections?|\s*§+)?)\s*({SECTION}{SUFFIX}(?:{BETWEEN}(?:§\s*)?{SECTION}{SUFFIX})*)"
+PART_REF = rf"\b[Pp]art\s+({PART})\b"
+PART_LIST = rf"\b[Pp]arts\s+({PART}(?:{BETWEEN}{PART})*)\b"
+PARTS_OF_THIS = rf"\b[Pp]art\s+({PART}(?:{BETWEEN}{PART})+)\s+of\s+this\b"
+AIM_LIST = rf"\bAIM,?\s+(?:[Pp]ara(?:graphs?|s|\.)?\s+|[Ss]ections?\s+)?({PARAGRAPH}(?:{BETWEEN}{PARAGRAPH})*)"
+
+
+def listed(text: Column, pattern: str, item: str) -> Column:
+    """Every ``item`` in the lists that ``pattern`` captures, in order; null counts as no list."""
+    lists = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    items = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(item), F.lit(0))))
+    return F.coalesce(items, F.array().cast("array<string>"))
 
 
 def section_refs(text: Column) -> Column:
     """Sections that a text cites, each once, without paragraph suffixes."""
-    return F.array_distinct(F.concat(all_matches(text, SECTION_REF), all_matches(text, SECTION_AND), all_matches(text, CFR_REF)))
+    return F.array_distinct(F.concat(listed(text, SECTION_REF, SECTION), listed(text, SECTION_LIST, SECTION)))
+
+
+def part_refs(text: Column) -> Column:
+    """Parts that a text cites, each once; after the singular a list counts only if it ends in 'of this'."""
+    return F.array_distinct(F.concat(*[listed(text, p, PART) for p in (PART_REF, PART_LIST, PARTS_OF_THIS)]))
 
 
 def references(units: DataFrame, key: str, text: str, own: str | None = None) -> DataFrame:
-    """(key, kind, target) for every citation in ``text``: kinds section, part and paragraph, each target once.
+    """(key, kind, target) for every citation in ``text``: kinds section, part, paragraph and aim_section, each target once.
 
-    ``own`` names the column with the record's own citation, to which it does not refer.  Null texts cite nothing.
+    Lists are taken as a whole (``§§ 91.1, 91.3(b), and 91.5``, ``parts 61 and 91``).  ``own`` names the column with the record's
+    own citation, to which it does not refer.  Null texts cite nothing.
     """
-    kinds = {"section": section_refs(F.col(text)), "part": all_matches(F.col(text), PART_REF), "paragraph": all_matches(F.col(text), AIM_REF)}
-    found = F.concat(*[F.transform(F.array_distinct(v), lambda t: F.struct(F.lit(k).alias("kind"), t.alias("target"))) for k, v in kinds.items()])  # noqa: B023
+    aim = F.array_distinct(listed(F.col(text), AIM_LIST, PARAGRAPH))
+    kinds = {
+        "section": section_refs(F.col(text)), "part": part_refs(F.col(text)),
+        "paragraph": F.filter(aim, lambda x: x.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3}$")),
+        "aim_section": F.filter(aim, lambda x: x.rlike("^[0-9]{1,2}-[0-9]{1,2}$")),
+    }
+    found = F.concat(*[F.transform(v, lambda t: F.struct(F.lit(k).alias("kind"), t.alias("target"))) for k, v in kinds.items()])  # noqa: B023
     rows = units.select(key, *([F.col(own).alias("own")] if own else []), F.explode(found).alias("r")).select("*", "r.kind", "r.target")
     if own:
         rows = rows.where(F.col("own").isNull() | (F.col("own") != F.col("target")))

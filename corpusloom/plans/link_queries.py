@@ -30,20 +30,23 @@ def unit_text(spark, folder):
     return _unit_texts(spark, folder).select("unit_key", F.sha2("text", 256).alias("hash"), F.length("text").alias("chars"))
 
 
+# The SQL takes lists apart in its own way: all that can stand in a list, then the numbers in it.
+_S, _SOUP = r"[0-9]+[a-z]?\.[0-9]+[a-z]?", r"[\s,;§]|and/or |and |or |through |to "
 _REFS = rf"""
-    WITH u AS (SELECT unit_key, regexp_extract(citation, '([0-9]+[a-z]?\.[0-9]+[a-z]?)', 1) AS own, {_TEXT} AS text FROM ({_UNITS})),
-    r AS (
-      SELECT unit_key, own, 'section' AS kind, unnest(list_concat(list_concat(regexp_extract_all(text, '§+\s*([0-9]+[a-z]?\.[0-9]+[a-z]?)', 1),
-        regexp_extract_all(text, '§§\s*[0-9]+[a-z]?\.[0-9]+[a-z]?(?:\([0-9A-Za-z]+\))*(?:,| and| or|, and|, or)\s+([0-9]+[a-z]?\.[0-9]+[a-z]?)', 1)),
-        regexp_extract_all(text, '14 CFR (?:section |§ ?)?([0-9]+[a-z]?\.[0-9]+[a-z]?)', 1))) AS target FROM u
-      UNION ALL SELECT unit_key, own, 'part', unnest(regexp_extract_all(text, '(?:14 CFR |\b)[Pp]arts? ([0-9]+[a-z]?)\b', 1)) FROM u
-      UNION ALL SELECT unit_key, own, 'paragraph', unnest(regexp_extract_all(text, '\bAIM,?\s+(?:[Pp]ara(?:graph|\.)?\s+)?([0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{1,3}})', 1)) FROM u
-    ), refs AS (SELECT DISTINCT unit_key, kind, target FROM r WHERE own IS NULL OR own <> target)
+    WITH u AS (SELECT unit_key, coalesce(nullif(regexp_extract(citation, '{_S}'), ''), regexp_extract(citation, '^AIM (.*)$', 1)) AS own, {_TEXT} AS text FROM ({_UNITS})),
+    l AS (
+      SELECT unit_key, own, 'section' AS kind, unnest(list_concat(regexp_extract_all(text, '§\s*{_S}'), regexp_extract_all(text, '(?:§§|[Ss]ections|14 CFR(?: sections?| ?§+)?)\s*{_S}(?:{_SOUP}|\([0-9A-Za-z]+\)|{_S})*'))) AS listed, '{_S}' AS form FROM u
+      UNION ALL SELECT unit_key, own, 'part', unnest(list_concat(list_concat(regexp_extract_all(text, '\b[Pp]art\s+([0-9]+[a-z]?)\b', 1), regexp_extract_all(text, '\b[Pp]arts\s+((?:(?:{_SOUP})*[0-9]+[a-z]?)+)\b', 1)),
+        regexp_extract_all(text, '\b[Pp]art\s+((?:(?:{_SOUP})*[0-9]+[a-z]?)+)\s+of\s+this', 1))), '[0-9]+[a-z]?' FROM u
+      UNION ALL SELECT unit_key, own, 'aim', unnest(regexp_extract_all(text, '\bAIM,?\s+(?:[Pp]ara(?:graphs?|s|\.)?\s+|[Ss]ections?\s+)?((?:(?:{_SOUP})*[0-9]+(?:-[0-9]+)+)+)', 1)), '[0-9]+(?:-[0-9]+)+' FROM u
+    ), r AS (SELECT unit_key, own, kind, unnest(regexp_extract_all(listed, form)) AS target FROM l),
+    refs AS (SELECT DISTINCT unit_key, CASE WHEN kind <> 'aim' THEN kind WHEN len(string_split(target, '-')) = 3 THEN 'paragraph' ELSE 'aim_section' END AS kind, target FROM r
+      WHERE (own IS NULL OR own <> target) AND (kind <> 'aim' OR regexp_matches(target, '^[0-9]{{1,2}}-[0-9]{{1,2}}(-[0-9]{{1,3}})?$')))
 """
 
 
 def _refs(spark, folder):
-    own = F.regexp_extract("citation", r"([0-9]+[a-z]?\.[0-9]+[a-z]?)", 1)
+    own = F.coalesce(F.nullif(F.regexp_extract("citation", links.SECTION, 0), F.lit("")), F.regexp_extract("citation", "^AIM (.*)$", 1))
     return links.references(_unit_texts(spark, folder).withColumn("number", own), "unit_key", "text", own="number")
 
 
@@ -51,18 +54,26 @@ _PARAGRAPH = r"^AIM ([0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3})$"
 
 
 def _targets(spark, folder):
-    """What a reference of each kind can point at: sections, parts (which have no title of their own) and paragraphs of the AIM."""
+    """What a reference of each kind can point at: sections, parts and sections of the AIM (which have no title of their own) and paragraphs of the AIM."""
     rows = load(spark, folder, "cfr_section", "section", "part", "title")
     sections = rows.where("section is not null").groupBy("section").agg(F.min("title").alias("title"))
     sections = sections.select(F.lit("section").alias("kind"), F.col("section").alias("target"), "title")
-    parts = rows.where("part is not null").select(F.lit("part").alias("kind"), F.col("part").alias("target"), F.lit(None).cast("string").alias("title")).distinct()
+    untitled = lambda df, kind, target: df.select(F.lit(kind).alias("kind"), target.alias("target"), F.lit(None).cast("string").alias("title")).distinct()
+    parts = untitled(rows.where("part is not null"), "part", F.col("part"))
     number = F.regexp_extract("citation", _PARAGRAPH, 1)
     units = _unit_rows(spark, folder).where("layer = 'aim'").select(number.alias("target"), "heading").where("target <> ''")
     paragraphs = units.groupBy("target").agg(F.min("heading").alias("title")).select(F.lit("paragraph").alias("kind"), "target", "title")
-    return sections.unionByName(parts).unionByName(paragraphs)
+    chapters = untitled(units, "aim_section", F.substring_index("target", "-", 2))
+    return sections.unionByName(parts).unionByName(paragraphs).unionByName(chapters)
 
 
-_TARGETS = "targets AS (SELECT 'section' AS kind, section AS target, min(title) AS title FROM cfr_section WHERE section IS NOT NULL GROUP BY section)"
+_TARGETS = """
+    once AS (SELECT citation, heading FROM units WHERE layer = 'aim' AND regexp_matches(citation, '^AIM [0-9]{1,2}-[0-9]{1,2}-[0-9]{1,3}$') AND unit_key IS NOT NULL),
+    targets AS (SELECT 'section' AS kind, section AS target, min(title) AS title FROM cfr_section WHERE section IS NOT NULL GROUP BY section
+      UNION ALL SELECT DISTINCT 'part', part, NULL FROM cfr_section WHERE part IS NOT NULL
+      UNION ALL SELECT 'paragraph', citation[5:], min(heading) FROM once GROUP BY citation
+      UNION ALL SELECT DISTINCT 'aim_section', split_part(citation[5:], '-', 1) || '-' || split_part(citation, '-', 2), NULL FROM once)
+"""
 
 
 @REGISTRY.add("explicit_refs", _REFS + "SELECT * FROM refs")
@@ -72,12 +83,15 @@ def explicit_refs(spark, folder):
 
 @REGISTRY.add("link_resolve", _REFS + f", {_TARGETS} SELECT unit_key, kind, target, title FROM refs JOIN targets USING (kind, target)")
 def link_resolve(spark, folder):
-    return _refs(spark, folder).join(_targets(spark, folder), ["kind", "target"]).select("unit_key", "kind", "target", "title")
+    """References with the title of their target; those without a target are in dangling_links."""
+    edges = _refs(spark, folder).withColumn("to", F.struct("kind", "target"))
+    targets = _targets(spark, folder).select(F.struct("kind", "target").alias("to"), "title")
+    return links.resolve(edges, targets, "to").select("unit_key", "kind", "target", "title")
 
 
-@REGISTRY.add("dangling_links", _REFS + f", {_TARGETS} SELECT unit_key, target FROM refs WHERE kind = 'section' AND target NOT IN (SELECT target FROM targets)")
+@REGISTRY.add("dangling_links", _REFS + f", {_TARGETS} SELECT unit_key, target FROM refs ANTI JOIN targets USING (kind, target)")
 def dangling_links(spark, folder):
-    """References of every kind; the form of the target tells its kind (91.155, 91, 5-4-3)."""
+    """References of every kind; the form of the target tells its kind (91.155, 91, 5-4-3, 5-4)."""
     return links.dangling(_refs(spark, folder), _targets(spark, folder), "kind", "target").select("unit_key", "target")
 
 

@@ -15,6 +15,27 @@ def test_references(spark):
     assert got == [(1, "paragraph", "5-4-3"), (1, "part", "61"), (1, "section", "374.3"), (1, "section", "91.155"), (1, "section", "91.215"), (1, "section", "91.225")]
 
 
+LISTS = {
+    "§§ 91.1, 91.3(b)(2), and 91.5.": {"section": "91.1 91.3 91.5"},
+    "under §§ 121.1 through 121.9 or § 135.1": {"section": "121.1 121.9 135.1"},
+    "sections 23.5; 23.7 and/or 23.9a": {"section": "23.5 23.7 23.9a"},
+    "parts 61 and 91 of this chapter": {"part": "61 91"},
+    "14 CFR parts 121, 125, and 135": {"part": "121 125 135"},
+    "part 121 or 135 of this chapter": {"part": "121 135"},
+    "part 91 and 2 pilots, 14 CFR 91.103 and 91.105": {"part": "91", "section": "91.103 91.105"},
+    "AIM, Para 5-4-3 and 5-4-5, AIM 4-1, AIM 5-4-1234": {"paragraph": "5-4-3 5-4-5", "aim_section": "4-1"},
+    "nothing 91.5 here, counterparts 5 and 6": {},
+}
+
+
+def test_lists_of_references(spark):
+    """Expected by hand."""
+    texts = list(LISTS)
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    want = {(k, kind, t) for k, text in enumerate(texts) for kind, ts in LISTS[text].items() for t in ts.split()}
+    assert set(rows(links.references(df, "k", "text"))) == want
+
+
 def test_resolution(spark):
     edges = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b")], "src int, t string")
     targets = spark.createDataFrame([("a", "A")], "t string, title string")

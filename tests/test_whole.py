@@ -60,7 +60,8 @@ ALL_TARGETS = r"""
     , once AS (SELECT DISTINCT ON (unit_key) * FROM units), every AS (
       SELECT 'section' AS kind, section AS target, min(title) AS title FROM cfr_section WHERE section IS NOT NULL GROUP BY section
       UNION ALL SELECT DISTINCT 'part', part, NULL FROM cfr_section WHERE part IS NOT NULL
-      UNION ALL SELECT 'paragraph', citation[5:], min(heading) FROM once WHERE layer = 'aim' AND citation LIKE 'AIM %' GROUP BY citation)
+      UNION ALL SELECT 'paragraph', citation[5:], min(heading) FROM once WHERE layer = 'aim' AND citation LIKE 'AIM %' GROUP BY citation
+      UNION ALL SELECT DISTINCT 'aim_section', regexp_extract(citation, '^AIM ([0-9]+-[0-9]+)-', 1), NULL FROM once WHERE layer = 'aim' AND citation LIKE 'AIM %')
 """
 
 
