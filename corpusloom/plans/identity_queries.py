@@ -98,6 +98,18 @@ def canonical_hash(spark, folder):
     return rows.select("n_nationkey", canonical.canonical_hash(record, rows.select(record.alias("r")).schema["r"].dataType).alias("hash"))
 
 
+@REGISTRY.add("canonical_nested", """
+    SELECT DISTINCT term_key, 'sha256:' || sha256('{"links":' || coalesce('[' || array_to_string(list_transform(see_also, lambda x: '{"item":' || coalesce(to_json(x)::VARCHAR, 'null') || '}'), ',') || ']', 'null')
+      || ',"names":{"letter":' || coalesce(to_json(letter)::VARCHAR, 'null') || ',"term":' || coalesce(to_json(term)::VARCHAR, 'null') || '}}') AS hash FROM pcg_term""")
+def canonical_nested(spark, folder):
+    """Glossary entries as nested records: provenance in structs within arrays and in map keys does not count."""
+    rows = load(spark, folder, "pcg_term", "term_key", "term", "letter", "see_also", "source").distinct()
+    links = F.transform("see_also", lambda x: F.struct(F.col("source").alias("source"), x.alias("item")))
+    names = F.create_map(F.lit("term"), F.col("term"), F.lit("source"), F.col("source"), F.lit("letter"), F.col("letter"))
+    rows = rows.select("term_key", F.struct(names.alias("names"), links.alias("links")).alias("r"))
+    return rows.select("term_key", canonical.canonical_hash(F.col("r"), rows.schema["r"].dataType).alias("hash")).distinct()
+
+
 @REGISTRY.add("strip_provenance", """
     SELECT DISTINCT id, source_version, '{"id":"' || id || '","title":' || coalesce('"' || title || '"', 'null') || '}' AS content FROM cfr_section""")
 def strip_provenance(spark, folder):

@@ -64,6 +64,28 @@ def test_canonical_hash_ignores_provenance_and_order(spark):
     assert spark.createDataFrame([("{no",), (None,)], "t string").select(canonical.canonical_hash_json(F.col("t")).alias("h")).where("h is not null").count() == 0
 
 
+def test_canonical_json_of_every_shape(spark):
+    """Against Python's own form: control characters, numbers with a fraction, maps, arrays of maps, nulls."""
+    import json
+
+    def bare(x):
+        if isinstance(x, dict):
+            return {k: bare(v) for k, v in x.items() if k not in ("source", "canonical_hash")}
+        return [bare(v) for v in x] if isinstance(x, list) else x
+
+    text = "".join(map(chr, range(1, 33))) + "\x7f\u2028é\U0001d518 \"q\" \\u000B \\\\u000B \\\x0b/"
+    kinds = "s string, source string, m map<string,string>, a array<map<string,struct<z:string,canonical_hash:string>>>, mm map<string,map<string,int>>"
+    one = {"s": text, "source": "x", "m": {"b": "\x1f", "a": None, "source": "gone"}, "a": [{"k": {"z": "1", "canonical_hash": "h"}, "source": None}, None, {}], "mm": {"y": {"source": 1, "b": 2}, "x": None}}
+    two = dict.fromkeys(one) | {"a": []}
+    df = spark.createDataFrame([(one,), (two,)], f"r struct<{', '.join(':'.join(x.split(' ', 1)) for x in kinds.split(', '))}>")
+    got = [r[0] for r in df.select(canonical.canonical_json(F.col("r"), df.schema["r"].dataType)).collect()]
+    assert got == [json.dumps(bare(x), sort_keys=True, ensure_ascii=False, separators=(",", ":")) for x in (one, two)]
+    numbers = [1e20, 1e-5, 0.1, 1.0, 12345678.5, -0.0, 1e16, 5e-324, None]
+    df = spark.createDataFrame([({"d": x, "s": "\x0b"},) for x in numbers], "r struct<d:double,s:string>")
+    got = [r[0] for r in df.coalesce(1).select(canonical.canonical_json(F.col("r"), df.schema["r"].dataType)).collect()]
+    assert got == [json.dumps({"d": x, "s": "\x0b"}, separators=(",", ":")) for x in numbers]
+
+
 def test_tree_hash_does_not_depend_on_order(spark):
     rows = spark.createDataFrame([("a", "1"), ("b", "2")], "p string, c string")
     rows = rows.withColumn("g", F.lit(1))
