@@ -133,47 +133,78 @@ def linked_stems(spark, folder):
     return notes.select("term_key", F.array_join(F.array_sort(F.array_distinct(markdown.wikilink_stems(F.col("text")))), "; ").alias("stems"))
 
 
+_WORD = r"[\p{L}\p{M}0-9]+(?:[-''/][\p{L}\p{M}0-9]+)*"
 _RUNS = r"""
     WITH u AS ({texts}),
-    w AS (SELECT unit_key, regexp_extract_all(text, '[A-Za-z0-9]+(?:[-''/][A-Za-z0-9]+)*', 0) AS words FROM u),
-    p AS (SELECT unit_key, words, unnest(range(1, len(words) + 1)) AS i FROM w),
-    runs AS (SELECT DISTINCT unit_key, array_to_string(words[i:i + n - 1], ' ') AS run FROM p, (SELECT unnest([1, 2, 3, 4]) AS n) WHERE i + n - 1 <= len(words)),
     t AS ({terms}),
     b AS (SELECT term_key, term, trim(regexp_replace(regexp_replace(term, '\s*[(\[][^)\]]*[)\]]', ' ', 'g'), '\s+', ' ', 'g')) AS bare, regexp_extract(term, '[(\[]([^)\]]*)[)\]]', 1) AS inner_part FROM t),
     f AS (SELECT term_key, unnest([term, term || 's', term || 'es', CASE WHEN regexp_matches(term, '[^aeiouAEIOU][yY]$') THEN regexp_replace(term, '[yY]$', 'ies') END,
       bare, bare || 's', bare || 'es', CASE WHEN regexp_matches(bare, '[^aeiouAEIOU][yY]$') THEN regexp_replace(bare, '[yY]$', 'ies') END, inner_part]) AS form FROM b),
-    forms AS (SELECT DISTINCT term_key, regexp_matches(form, '^[A-Z0-9]{{1,5}}s?$') AS exact,
-      CASE WHEN regexp_matches(form, '^[A-Z0-9]{{1,5}}s?$') THEN form ELSE lower(regexp_replace(trim(form), '[^A-Za-z0-9''/-]+', ' ', 'g')) END AS run FROM f WHERE form IS NOT NULL AND form <> ''),
+    forms AS (SELECT DISTINCT term_key, regexp_matches(form, '^[A-Z0-9]{{1,5}}s?$') AS exact, len(regexp_extract_all(form, '{word}')) AS n,
+      CASE WHEN regexp_matches(form, '^[A-Z0-9]{{1,5}}s?$') THEN form ELSE lower(array_to_string(regexp_extract_all(form, '{word}'), ' ')) END AS run FROM f WHERE form IS NOT NULL AND form <> ''),
+    w AS (SELECT unit_key, regexp_extract_all(text, '{word}', 0) AS words FROM u),
+    p AS (SELECT unit_key, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+    runs AS (SELECT DISTINCT unit_key, array_to_string(words[i:i + n - 1], ' ') AS run FROM p, (SELECT DISTINCT n FROM forms WHERE n > 0) WHERE i + n - 1 <= len(words)),
     found AS (SELECT DISTINCT unit_key, term_key FROM (
       SELECT unit_key, term_key FROM runs JOIN forms ON exact AND runs.run = forms.run UNION ALL
       SELECT unit_key, term_key FROM (SELECT DISTINCT unit_key, lower(run) AS run FROM runs) r JOIN forms ON NOT exact AND r.run = forms.run))
 """
 
 
-_TITLE = r"[a-z]+ [a-z-]+$"
+def _found(texts, terms):
+    return _RUNS.format(texts=texts, terms=terms, word=_WORD)
+
+
+# A section defines what its title is about: all behind the article.
+_TITLE = r"^.* the (.+)$"
+_DEFINED = f"SELECT DISTINCT regexp_extract(title, '{_TITLE}', 1) AS term, regexp_extract(title, '{_TITLE}', 1) AS term_key FROM cfr_section WHERE regexp_matches(title, '{_TITLE}')"
+_UNIT_TEXTS = f"SELECT unit_key, {_TEXT} AS text FROM ({_UNITS})"
+
+
+def _definitions(spark, folder):
+    rows = load(spark, folder, "cfr_section", "id", "part", "title").where(F.col("title").rlike(_TITLE))
+    return rows.select("id", "part", F.regexp_extract("title", _TITLE, 1).alias("term")).distinct()
 
 
-@REGISTRY.add("defined_terms", _RUNS.format(
-    texts=f"SELECT unit_key, {_TEXT} AS text FROM ({_UNITS})",
-    terms=f"SELECT DISTINCT regexp_extract(title, '{_TITLE}', 0) AS term, regexp_extract(title, '{_TITLE}', 0) AS term_key FROM cfr_section WHERE title IS NOT NULL",
-) + "SELECT * FROM found")
+@REGISTRY.add("defined_terms", _found(_UNIT_TEXTS, _DEFINED) + "SELECT * FROM found")
 def defined_terms(spark, folder):
-    title = F.regexp_extract("title", _TITLE, 0)
-    dictionary = load(spark, folder, "cfr_section", "title").where("title is not null").select(title.alias("term"), title.alias("term_key")).distinct()
+    dictionary = _definitions(spark, folder).select("term", F.col("term").alias("term_key")).distinct()
     return terms.matched_terms(_unit_texts(spark, folder).select("unit_key", "text"), "unit_key", dictionary, "term_key")
 
 
-@REGISTRY.add("glossary_terms", _RUNS.format(
-    texts="SELECT DISTINCT term_key AS unit_key, text FROM pcg_term", terms="SELECT DISTINCT ON (term_key) term_key, term FROM pcg_term WHERE term IS NOT NULL"
-) + "SELECT * FROM found")
+# Parts whose definitions reach further than the part itself.
+_REACH = {1: (1, 199), 110: (110, 139), 401: (400, 460)}
+_REACH_SQL = "CASE " + " ".join(f"WHEN number = {p} THEN {{{i}}}" for i, p in enumerate(_REACH)) + " ELSE number END"
+_LO, _HI = (_REACH_SQL.format(*[r[i] for r in _REACH.values()]) for i in (0, 1))
+
+
+@REGISTRY.add("scoped_terms", _found(_UNIT_TEXTS, _DEFINED) + f"""
+    , defined AS (SELECT DISTINCT id, try_cast(part AS INT) AS number, regexp_extract(title, '{_TITLE}', 1) AS term FROM cfr_section WHERE regexp_matches(title, '{_TITLE}')),
+    scoped AS (SELECT id, term, {_LO} AS lo, {_HI} AS hi FROM defined WHERE number IS NOT NULL),
+    uses AS (SELECT DISTINCT ON (unit_key) unit_key, unit_id, try_cast(part AS INT) AS number FROM units WHERE layer = 'cfr'),
+    best AS (SELECT f.unit_key, s.term, s.id, u.unit_id FROM found f JOIN uses u USING (unit_key) JOIN scoped s ON s.term = f.term_key AND u.number BETWEEN s.lo AND s.hi
+      QUALIFY row_number() OVER (PARTITION BY f.unit_key, s.term ORDER BY s.hi - s.lo, s.lo, s.id) = 1)
+    SELECT unit_key, term, id AS defined_in FROM best WHERE id <> unit_id""")
+def scoped_terms(spark, folder):
+    """Defined terms of each section's text with the one definition that holds there: in scope, the narrowest, and not the section itself."""
+    defined = _definitions(spark, folder).withColumn("number", F.col("part").try_cast("int")).where("number is not null")
+    scopes = defined.select(F.col("id").alias("scope_id"), "term", F.expr(_LO).alias("lo"), F.expr(_HI).alias("hi"))
+    uses = load(spark, folder, "units", "unit_key", "unit_id", "layer", "part").where("layer = 'cfr'").dropDuplicates(["unit_key"]).select("unit_key", "unit_id", F.col("part").try_cast("int").alias("number"))
+    found = defined_terms(spark, folder).withColumnRenamed("term_key", "term").join(uses, "unit_key").where("number is not null")
+    best = terms.narrowest(terms.in_scope(found, scopes, "number", "term"), "unit_key", "term")
+    return best.where("scope_id <> unit_id").select("unit_key", "term", F.col("scope_id").alias("defined_in"))
+
+
+_GLOSSARY = _found("SELECT DISTINCT term_key AS unit_key, text FROM pcg_term", "SELECT DISTINCT ON (term_key) term_key, term FROM pcg_term WHERE term IS NOT NULL")
+
+
+@REGISTRY.add("glossary_terms", _GLOSSARY + "SELECT * FROM found")
 def glossary_terms(spark, folder):
     entries = load(spark, folder, "pcg_term", "term_key", "term", "text").dropDuplicates(["term_key"])
     return terms.matched_terms(entries.select(F.col("term_key").alias("unit_key"), "text"), "unit_key", entries.select("term_key", "term"), "term_key")
 
 
-@REGISTRY.add("term_gate", _RUNS.format(
-    texts="SELECT DISTINCT term_key AS unit_key, text FROM pcg_term", terms="SELECT DISTINCT ON (term_key) term_key, term FROM pcg_term WHERE term IS NOT NULL"
-) + "SELECT unit_key, term_key FROM found WHERE unit_key <> term_key AND term_key NOT IN (SELECT term_key FROM t WHERE length(term) < 5)")
+@REGISTRY.add("term_gate", _GLOSSARY + "SELECT unit_key, term_key FROM found WHERE unit_key <> term_key AND term_key NOT IN (SELECT term_key FROM t WHERE length(term) < 5)")
 def term_gate(spark, folder):
     """Matches without those of gated (here: short) terms, and without a definition's own term."""
     gated = load(spark, folder, "pcg_term", "term_key", "term").where("length(term) < 5")
