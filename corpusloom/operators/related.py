@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.scratch import cut
+from corpusloom.scratch import cut, new_path
 
+# Name and version of this provider of related records.
 PROVIDER = ("lexical-tfidf", "1")
 
 
@@ -26,18 +27,22 @@ def weights(texts: DataFrame, key: str, records: int, word: str = "[a-z][a-z]+")
 def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25) -> DataFrame:
     """(src, dst, same_group, rank, score): for each query record the ``k`` most similar of its own group and of the others.
 
-    ``queries`` is a condition on ``key`` that picks the query records; all records are searched.  First only the weightiest
-    tokens of a query meet; what the others can add is at most their length, so a record whose part and that length are below
+    ``queries`` is a condition on ``key`` that picks the query records; all records are searched.  First only the rarer tokens
+    of a query meet the records: the commonest are left out as long as all that they can add, which is their weights times the
+    greatest weights that any record gives them, stays below an eighth of the floor.  A record whose part and that bound are below
     ``floor`` together cannot reach it.  The rest get their full cosine, rounded to 6 digits; ties go to the least key.
     Nothing is capped.
     """
     all_ = cut(weights(texts, key, records), "weights")
     asked = all_.where(queries).withColumnsRenamed({key: "src", "w": "wa"})
     rows = all_.withColumnsRenamed({key: "dst", "w": "wb"})
-    # the weightiest tokens lead; those behind them have together a length below half of the floor
-    behind = Window.partitionBy("src").orderBy("wa", F.col("token").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    lead = asked.withColumn("left", F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(behind))).where(F.col("left") >= floor / 2)
-    rest = lead.groupBy("src").agg(F.sqrt(F.greatest(1 - F.sum(F.col("wa") * F.col("wa")), F.lit(0.0))).alias("rest"))
+    most = all_.groupBy("token").agg(F.max("w").alias("most"), F.count(F.lit(1)).alias("df"))
+    behind = Window.partitionBy("src").orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)
+    # all that the tokens up to this one can add: by their greatest weights, and by their length
+    adds = F.least(F.sum(F.col("wa") * F.col("most")).over(behind), F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(behind)))
+    bound = cut(asked.join(most, "token").withColumn("adds", adds).select("src", "token", "wa", "adds"), "bounds")
+    lead = bound.where(F.col("adds") >= floor / 8)
+    rest = bound.groupBy("src").agg(F.coalesce(F.max(F.when(F.col("adds") < floor / 8, F.col("adds"))), F.lit(0.0)).alias("rest"))
     part = lead.select("src", "token", "wa").join(rows, "token").where("src <> dst").groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"))
     pairs = part.join(rest, "src").where(F.col("part") + F.col("rest") >= floor - 1e-6).select("src", "dst")
     dots = pairs.join(asked.select("src", "token", "wa"), "src").join(rows, ["dst", "token"]).groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
@@ -49,39 +54,58 @@ def related(texts: DataFrame, key: str, group: str, queries, records: int, k: in
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "dst", "same_group", "rank", "score")
 
 
-def nearest_vectors(vectors: DataFrame, key: str, vector: str, queries, k: int = 5, block: int = 256) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, key: str, vector: str, queries, k: int = 5, block: int = 256, rows_at_once: int = 8192) -> DataFrame:
     """(src, dst, rank, score): the ``k`` nearest of all records by cosine, exactly, for each query record.
 
-    The query set is cut into blocks; each block meets every record once, as a matrix product in Arrow batches, and each
-    batch keeps its own ``k`` best before they meet.  Null vectors and vectors of length 0 take no part.
+    The query vectors are written once to the shared folder.  Records stay where they are read: each task takes its own in
+    lots, reads the queries block by block, and forms one matrix product for a lot and a block; a lot keeps its ``k`` best for
+    each query before they meet.  Null vectors and vectors of length 0 take no part; vectors of different lengths are an error.
     """
-    import numpy as np
-    import pandas as pd
-
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and exists(v, x -> x <> 0)")
-    count = rows.where(queries).count()
-    blocks = max(1, -(-count // block))
-    asked = rows.where(queries).groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
-    # each block goes to every part of the records, so that one block does not bring all records together
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    placed = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts).cast("long"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    met = placed.join(asked, ["block", "part"]).select("block", "id", "v", "queries")
+    import pyarrow as pa
+
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null and v is not null and exists(v, x -> x <> 0)")
+    path = new_path(vectors.sparkSession, "queries")
+    rows.where(queries).write.parquet(path)
 
     def best(batches):
-        for pdf in batches:
-            for _, part in pdf.groupby("block", sort=False):
-                # the queries of a block are the same in all its rows
-                own = part.queries.iloc[0]
-                q = np.stack([np.asarray(x["v"]) for x in own])
-                v = np.stack(part.v.to_numpy())
-                score = (q / np.linalg.norm(q, axis=1)[:, None]) @ (v / np.linalg.norm(v, axis=1)[:, None]).T
-                ids = part.id.to_numpy()
-                for i, x in enumerate(own):
-                    s = np.where(ids == x["id"], -np.inf, np.round(score[i], 6))
-                    top = np.lexsort((ids, -s))[: k + 1]
-                    yield pd.DataFrame({"src": x["id"], "dst": ids[top], "score": s[top]})
-
-    found = met.mapInPandas(best, "src long, dst long, score double").where("src <> dst")
+        import numpy as np
+        from pyarrow import dataset, fs
+
+        store, place = fs.FileSystem.from_uri("file:///" + path[5:].lstrip("/") if path.startswith("file:") else path)
+        asked = dataset.dataset(place, filesystem=store, format="parquet")
+
+        def unit(batch):
+            v = batch.column("v").combine_chunks() if isinstance(batch, pa.Table) else batch.column("v")
+            v = np.asarray(v.flatten()).reshape(batch.num_rows, -1)
+            return np.asarray(batch.column("id")), v / np.linalg.norm(v, axis=1)[:, None]
+
+        def nearest(lot: pa.Table):
+            ids, v = unit(lot)
+            for own in asked.to_batches(batch_size=block):
+                if own.num_rows == 0:
+                    continue
+                src, q = unit(own)
+                score = np.round(q @ v.T, 6)
+                score[src[:, None] == ids[None, :]] = -np.inf
+                if len(ids) > k:
+                    i, j = np.nonzero(score >= np.partition(score, -k, axis=1)[:, -k][:, None])
+                else:
+                    i, j = np.nonzero(score > -np.inf)
+                order = np.lexsort((ids[j], -score[i, j], i))
+                i, j = i[order], j[order]
+                kept = (np.arange(len(i)) - np.searchsorted(i, i) < k) & (score[i, j] > -np.inf)
+                i, j = i[kept], j[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(src[i], pa.int64()), pa.array(ids[j], pa.int64()), pa.array(score[i, j])], names=["src", "dst", "score"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= rows_at_once:
+                yield from nearest(pa.Table.from_batches(held))
+                held = []
+        if any(b.num_rows for b in held):
+            yield from nearest(pa.Table.from_batches(held))
+
+    found = rows.mapInArrow(best, "src long, dst long, score double")
     order = Window.partitionBy("src").orderBy(F.desc("score"), "dst")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "dst", "rank", "score")

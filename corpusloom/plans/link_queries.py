@@ -254,7 +254,11 @@ def tfidf_related_topk(spark, folder):
     return _related(spark, folder)
 
 
-@REGISTRY.add("related_minus_explicit", _WEIGHTS + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM u p JOIN u q ON p.layer = q.layer AND p.unit_key // 100 = q.unit_key // 100 WHERE p.unit_key = src AND q.unit_key = dst)")
+@REGISTRY.add("related_minus_explicit", f"""
+    SELECT src, dst, score FROM ({_WEIGHTS} SELECT src, dst, score FROM top) WHERE NOT EXISTS (
+      SELECT 1 FROM ({_REFS} SELECT * FROM refs) r JOIN (SELECT DISTINCT unit_key, layer, citation FROM units) x
+        ON x.layer || ' ' || x.citation = CASE r.kind WHEN 'section' THEN 'cfr 14 CFR § ' WHEN 'paragraph' THEN 'aim AIM ' END || r.target
+      WHERE r.unit_key = src AND x.unit_key = dst)""")
 def related_minus_explicit(spark, folder):
     """Suggestions whose target the unit does not cite.  A section or AIM paragraph is the units of exactly that citation; a
     part is a note of its own, of no unit, so citing it links none of its sections."""

@@ -81,6 +81,23 @@ def test_related_is_exact(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_nearest_vectors_against_all(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    data = [(i, [float(x) for x in draw.integers(-2, 3, 4)]) for i in range(300)] + [(900, None), (901, [0.0] * 4), (902, [1.0, 0.0, 0.0, 0.0]), (903, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(data, "k long, v array<double>").repartition(5)
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in data if v and any(v)}
+    want = [
+        (a, b, r, s) for a in unit if a % 50 == 0
+        for r, (s, b) in enumerate(sorted(((round(float(unit[a] @ unit[b]), 6), b) for b in unit if b != a), key=lambda x: (-x[0], x[1]))[:3], 1)
+    ]
+    got = rows(related.nearest_vectors(df, "k", "v", "id % 50 = 0", k=3, block=2, rows_at_once=20))
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want, key=repr)]
+    assert rows(related.nearest_vectors(df.where("k < 2"), "k", "v", "id % 50 = 0", k=3)) == [g for g in rows(related.nearest_vectors(df.where("k < 2"), "k", "v", "id = 0", k=3))]
+    assert related.nearest_vectors(df.limit(0), "k", "v", "id % 50 = 0").count() == 0
+
+
 def test_transitions_and_as_of(spark):
     df = spark.createDataFrame([(1, "e1", "a"), (1, "e2", "a"), (1, "e3", None), (2, "e1", None)], "k int, e string, v string")
     assert rows(editions.transitions(df, "k", "e", "v")) == [(1, "e1", None, "first"), (1, "e2", "e1", "same"), (1, "e3", "e2", "changed"), (2, "e1", None, "first")]
