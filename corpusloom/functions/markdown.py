@@ -17,13 +17,28 @@ def indent(text: Column, levels: int = 1) -> Column:
     return F.regexp_replace(text, "(^|\n)(?=[^\n])", "$1" + STEP * levels)
 
 
-def list_item(head: Column, depth: Column) -> Column:
-    """One item of a list at ``depth`` (from 0), further lines of its head below it; an empty head stops the query."""
+def list_item(head: Column, depth: Column, children: Column | None = None) -> Column:
+    """One item of a list at ``depth`` (from 0), further lines of its head below it; an empty head stops the query.
+
+    ``children`` is an array of finished texts (paragraphs, inner lists): each stands below the head after an empty line, one step
+    further in; null and empty ones are left out.
+    """
     empty = F.trim(head) == ""
     checked = F.when(empty, F.raise_error(F.lit("a list item needs a head")).cast("string")).otherwise(head)
     lead = F.repeat(F.lit(STEP), depth)
-    body = F.regexp_replace(checked, "\n(?=[^\n])", "\n" + STEP)
-    return F.concat(lead, F.lit("- "), F.replace(F.regexp_replace(body, "\n(?=[^\n])", "\n\x01"), F.lit("\x01"), lead))
+    inner = F.concat(lead, F.lit(STEP))
+    moved = lambda text: F.concat(F.when(F.length(text) > 0, inner).otherwise(""), _after_breaks(text, inner))
+    item = F.concat(lead, F.lit("- "), _after_breaks(checked, inner))
+    if children is None:
+        return item
+    kept = F.filter(F.coalesce(children, F.array().cast("array<string>")), lambda x: F.length(F.trim(x)) > 0)
+    return F.concat(item, F.array_join(F.transform(kept, lambda x: F.concat(F.lit("\n\n"), moved(x))), ""))
+
+
+def _after_breaks(text: Column, lead: Column) -> Column:
+    """``text`` with ``lead`` before each line behind the first that is not empty."""
+    lines = F.split(text, "\n")
+    return F.array_join(F.transform(lines, lambda x, i: F.when((i > 0) & (F.length(x) > 0), F.concat(lead, x)).otherwise(x)), "\n")
 
 
 def link_display(text: Column) -> Column:

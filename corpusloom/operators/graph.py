@@ -1,4 +1,4 @@
-"""Hierarchies and prerequisite graphs by recursive queries."""
+"""Hierarchies and prerequisite graphs by joins that double the paths known."""
 
 from __future__ import annotations
 
@@ -8,31 +8,29 @@ from pyspark.sql import functions as F
 from corpusloom.scratch import fixed
 
 
-def ancestors(edges: DataFrame, child: str, parent: str, most: int = 64) -> DataFrame:
-    """(child, ancestor, depth) for every ancestor of every node, depth 1 being the parent.
+def ancestors(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """(child, ancestor, depth) for every ancestor of every node at every distance, depth 1 being the parent.
 
-    Each round joins the last level with the edges and is written to the shared folder; the loop ends with an empty level.
-    More than ``most`` levels is an error (a cycle has no end).  Null ends and repeated edges do not count.
+    Each round joins the paths of the greatest length known with all known ones, which doubles that length, and is written to
+    the shared folder; a hierarchy of n levels takes log2(n) rounds.  A graph with a cycle is an error, seen as soon as a node
+    is its own ancestor.  Null ends and repeated edges do not count.
     """
-    edges = fixed(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).where("c is not null and p is not null").distinct())
-    level = edges.select("c", F.col("p").alias("a"), F.lit(1).alias("depth"))
-    levels = [level]
-    for depth in range(2, most + 2):
-        level = fixed(level.join(edges.select(F.col("c").alias("a"), F.col("p").alias("next")), "a").select("c", F.col("next").alias("a"), F.lit(depth).alias("depth")).distinct())
-        if level.isEmpty():
-            break
-        if depth > most:
-            raise ValueError(f"more than {most} levels: the graph has a cycle")
-        levels.append(level)
-    found = levels[0]
-    for x in levels[1:]:
-        found = found.unionByName(x)
-    return found.select(F.col("c").alias(child), F.col("a").alias("ancestor"), "depth")
-
-
-def prerequisite_levels(nodes: DataFrame, edges: DataFrame, node: str, child: str, parent: str, most: int = 64) -> DataFrame:
+    paths = fixed(edges.select(F.col(child).alias("c"), F.col(parent).alias("a"), F.lit(1).alias("depth")).where("c is not null and a is not null").distinct())
+    length = 1
+    while True:
+        if not paths.where("c = a").isEmpty():
+            raise ValueError("the graph has a cycle")
+        longest = paths.where(F.col("depth") == length).select("c", F.col("a").alias("over"))
+        if longest.isEmpty():
+            return paths.select(F.col("c").alias(child), F.col("a").alias("ancestor"), "depth")
+        further = longest.join(paths.select(F.col("c").alias("over"), "a", "depth"), "over").select("c", "a", (F.col("depth") + length).alias("depth")).distinct()
+        paths = fixed(paths.unionByName(further))
+        length *= 2
+
+
+def prerequisite_levels(nodes: DataFrame, edges: DataFrame, node: str, child: str, parent: str) -> DataFrame:
     """(node, level): the length of the longest path to a node without prerequisites, which has level 0."""
-    longest = ancestors(edges, child, parent, most).groupBy(child).agg(F.max("depth").alias("level"))
+    longest = ancestors(edges, child, parent).groupBy(child).agg(F.max("depth").alias("level"))
     return nodes.select(node).distinct().join(longest.withColumnRenamed(child, node), node, "left").select(node, F.coalesce("level", F.lit(0)).alias("level"))
 
 

@@ -83,6 +83,11 @@ def without(suggested: DataFrame, explicit: DataFrame, *on: str) -> DataFrame:
     return suggested.join(explicit.select(*on).distinct(), list(on), "left_anti")
 
 
+def reviewed(suggested: DataFrame, verdicts: DataFrame, reject: str) -> DataFrame:
+    """Suggestions (src, dst, ...) without those that the table of verdicts (src, dst, verdict) rejects; pairs without a verdict stay."""
+    return without(suggested, verdicts.where(F.col("verdict") == reject), "src", "dst")
+
+
 def backlinks(edges: DataFrame, source: str, target: str) -> DataFrame:
     """(target, sources, n): who links here, in order; each source once.
 

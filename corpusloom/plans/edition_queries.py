@@ -4,14 +4,20 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import editions
+from corpusloom.operators.notes import in_order
 from corpusloom.operators.snapshots import deliveries, plain_source
 from corpusloom.plans import Registry
+from corpusloom.plans.snapshot_queries import _CHANGES, p4_found
 from corpusloom.sources.tables import load
 from corpusloom.streaming import windows
 
 REGISTRY = Registry()
 
-_PLAIN = "SELECT DISTINCT lower(trim(source)) AS source, id, source_version AS version, regexp_replace(lower(trim(canonical_hash)), '^sha256:', '') AS hash FROM cfr_section"
+_DELIVERED = """
+    WITH k AS (SELECT lower(trim(source)) AS source, id, source_version AS version, arg_max(coalesce(regexp_replace(lower(trim(canonical_hash)), '^sha256:', ''), '-'),
+        (coalesce(fetched_at, TIMESTAMP '0001-01-01'), coalesce(regexp_replace(lower(trim(canonical_hash)), '^sha256:', ''), ''))) AS hash
+      FROM cfr_section WHERE source IS NOT NULL AND id IS NOT NULL AND source_version IS NOT NULL GROUP BY ALL)
+"""
 
 
 def _delivered(spark, folder):
@@ -41,21 +47,18 @@ def last_known_good(spark, folder):
     return editions.last_known_good(rows.where("o_orderkey % 5 <> 0"), new, "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-_ONE = f"SELECT source, id, version, max(hash) AS hash FROM ({_PLAIN}) WHERE source = 'ecfr' GROUP BY ALL"
-
-
-@REGISTRY.add("edition_transitions", f"""
-    SELECT id, version, lag(version) OVER w AS previous_edition, CASE WHEN lag(version) OVER w IS NULL THEN 'first' WHEN lag(hash) OVER w IS NOT DISTINCT FROM hash THEN 'same' ELSE 'changed' END AS change
-    FROM ({_ONE}) WINDOW w AS (PARTITION BY id ORDER BY version)""")
+@REGISTRY.add("edition_transitions", _DELIVERED + """
+    SELECT source, id, version, lag(version) OVER w AS previous_edition, CASE WHEN lag(version) OVER w IS NULL THEN 'first' WHEN lag(hash) OVER w = hash THEN 'same' ELSE 'changed' END AS change
+    FROM k WINDOW w AS (PARTITION BY source, id ORDER BY version)""")
 def edition_transitions(spark, folder):
     """The editions of each section in each source; of several deliveries the one fetched last counts."""
     return editions.transitions(_delivered(spark, folder), ["source", "id"], "version", "hash")
 
 
-@REGISTRY.add("snapshot_diff", f"""
-    WITH v AS (SELECT version, row_number() OVER (ORDER BY version DESC) AS n FROM (SELECT DISTINCT version FROM ({_ONE}))), s AS (SELECT id, hash, n FROM ({_ONE}) JOIN v USING (version))
-    SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' WHEN o.hash IS DISTINCT FROM n.hash THEN 'changed' ELSE 'unchanged' END AS change
-    FROM (SELECT * FROM s WHERE n = 2) o FULL JOIN (SELECT * FROM s WHERE n = 1) n ON o.id = n.id""")
+@REGISTRY.add("snapshot_diff", _DELIVERED + """
+    , v AS (SELECT source, list(DISTINCT version ORDER BY version DESC) AS vs FROM k GROUP BY source),
+    s AS (SELECT k.*, list_position(vs, version) AS n FROM k JOIN v USING (source))
+    SELECT source, id, CASE WHEN max(n) = 1 THEN 'added' WHEN min(n) = 2 THEN 'removed' WHEN min(hash) <> max(hash) THEN 'changed' ELSE 'unchanged' END AS change FROM s WHERE n <= 2 GROUP BY source, id""")
 def snapshot_diff(spark, folder):
     """The last two versions of each source; a source with one version only adds."""
     rows = _delivered(spark, folder)
@@ -68,10 +71,10 @@ def snapshot_diff(spark, folder):
     return old.join(new, ["source", "id"], "full_outer").select("source", "id", change.alias("change"))
 
 
-@REGISTRY.add("change_summary", """
-    SELECT o_orderstatus, o_orderpriority, count(*) AS n, grouping(o_orderstatus, o_orderpriority) AS level FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""")
+@REGISTRY.add("change_summary", _CHANGES + "SELECT source, next_version, change, count(*) AS n, grouping(source, next_version, change) AS level FROM met WHERE change IS NOT NULL GROUP BY ROLLUP (source, next_version, change)")
 def change_summary(spark, folder):
-    return editions.change_counts(load(spark, folder, "orders", "o_orderstatus", "o_orderpriority"), "o_orderstatus", "o_orderpriority")
+    """How many sections each edition of each source added, removed and changed, with subtotals."""
+    return editions.change_counts(p4_found(spark, folder), "source", "next_version", "change")
 
 
 @REGISTRY.add("asof_edition", """
@@ -119,17 +122,23 @@ def unknown_kinds(spark, folder):
     return rows.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@REGISTRY.add("lossless_check", "SELECT doc_id, length(text) AS chars, len(string_split(text, chr(10) || chr(10))) AS blocks, true AS lossless FROM documents")
+@REGISTRY.add("lossless_check", "SELECT doc_id, sha256(text) AS hash, len(string_split(text, chr(10) || chr(10))) AS blocks, true AS lossless FROM documents WHERE text IS NOT NULL")
 def lossless_check(spark, folder):
-    rows = load(spark, folder, "documents", "doc_id", "text").withColumn("parts", F.split("text", "\n\n"))
-    kept = F.aggregate("parts", F.lit(0), lambda a, x: a + F.length(x)) + 2 * (F.size("parts") - 1)
-    return rows.select("doc_id", F.length("text").alias("chars"), F.size("parts").alias("blocks"), (kept == F.length("text")).alias("lossless"))
+    """Whether the blocks of each text, in order, are the text again."""
+    from corpusloom.operators.blocks import blocks
+
+    texts = load(spark, folder, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.sha2("text", 256).alias("hash"))
+    kept = blocks(load(spark, folder, "documents", "doc_id", "text"), "doc_id").groupBy("doc_id").agg(
+        in_order(F.col("text"), F.col("ordinal"), separator="\n\n").alias("again"), F.count(F.lit(1)).cast("int").alias("blocks")
+    )
+    same = F.coalesce(F.sha2("again", 256) == F.col("hash"), F.lit(False))
+    return texts.join(kept, "doc_id", "left").select("doc_id", "hash", "blocks", same.alias("lossless"))
 
 
-@REGISTRY.add("contents_crosscheck", "SELECT coalesce(o_orderkey, l_orderkey) AS order_key, o_orderkey IS NOT NULL AS listed, l_orderkey IS NOT NULL AS present FROM orders FULL JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 45) ON l_orderkey = o_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL")
+@REGISTRY.add("contents_crosscheck", "SELECT coalesce(o_orderkey, l_orderkey) AS order_key, o_orderkey IS NOT NULL AS listed, l_orderkey IS NOT NULL AS present FROM orders FULL JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON l_orderkey = o_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL")
 def contents_crosscheck(spark, folder):
     listed = load(spark, folder, "orders", F.col("o_orderkey").alias("order_key")).withColumn("listed", F.lit(True))
-    present = load(spark, folder, "lineitem", "l_orderkey", "l_quantity").where("l_quantity > 45").select(F.col("l_orderkey").alias("order_key"), F.lit(True).alias("present")).distinct()
+    present = load(spark, folder, "lineitem", "l_orderkey").select(F.col("l_orderkey").alias("order_key"), F.lit(True).alias("present")).distinct()
     both = listed.join(present, "order_key", "full_outer").fillna(False, ["listed", "present"])
     return both.where("not (listed and present)")
 
@@ -147,9 +156,9 @@ def set_intersect(spark, folder):
     return load(spark, folder, "units", F.col("unit_id").alias("id")).intersect(load(spark, folder, "cfr_section", "id"))
 
 
-@REGISTRY.add("set_except", "SELECT id FROM cfr_section EXCEPT SELECT unit_id FROM units")
+@REGISTRY.add("set_except", "SELECT unit_id AS id FROM units EXCEPT SELECT id FROM cfr_section")
 def set_except(spark, folder):
-    return load(spark, folder, "cfr_section", "id").subtract(load(spark, folder, "units", F.col("unit_id").alias("id")))
+    return load(spark, folder, "units", F.col("unit_id").alias("id")).subtract(load(spark, folder, "cfr_section", "id"))
 
 
 @REGISTRY.add("grouping_sets", "SELECT l_returnflag, l_linestatus, count(*) AS n, grouping(l_returnflag, l_linestatus) AS level FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())")

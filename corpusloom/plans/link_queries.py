@@ -270,11 +270,11 @@ def related_minus_explicit(spark, folder):
     return links.without(_related(spark, folder), linked, "src", "dst").select("src", "dst", "score")
 
 
-@REGISTRY.add("review_filter", _WEIGHTS + "SELECT src, dst, score FROM top WHERE (src + dst) % 4 <> 0 OR same_group")
+@REGISTRY.add("review_filter", _WEIGHTS + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = src AND l_partkey = dst)")
 def review_filter(spark, folder):
-    rows = _related(spark, folder)
-    rejected = rows.where("(src + dst) % 4 = 0 and not same_group").select("src", "dst")
-    return links.without(rows, rejected, "src", "dst").select("src", "dst", "score")
+    """Suggestions without those that a review rejects; lineitem stands for the table of verdicts (order: source, part: target, flag: verdict)."""
+    verdicts = load(spark, folder, "lineitem", F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("verdict"))
+    return links.reviewed(_related(spark, folder), verdicts, "R").select("src", "dst", "score")
 
 
 @REGISTRY.add("vector_topk", """
@@ -315,7 +315,9 @@ def prereq_levels(spark, folder):
     return graph.prerequisite_levels(load(spark, folder, "part", "p_partkey"), _tree(spark, folder), "p_partkey", "child", "parent")
 
 
-@REGISTRY.add("cycle_check", "SELECT unnest([-1, -2, -3])::BIGINT AS node UNION ALL SELECT p_partkey FROM part WHERE p_partkey = 3")
+@REGISTRY.add("cycle_check", """
+    WITH RECURSIVE below AS (SELECT 3::BIGINT AS node UNION ALL SELECT p_partkey FROM part JOIN below ON p_partkey // 2 = node WHERE p_partkey > 3)
+    SELECT node FROM below UNION ALL SELECT unnest([-1, -2, -3])""")
 def cycle_check(spark, folder):
     """The whole tree with node 3 hung on a loop instead of 1: the loop, 3 and all descendants of 3."""
     loop = spark.createDataFrame([(-1, -2), (-2, -3), (-3, -1), (3, -1)], "child long, parent long")

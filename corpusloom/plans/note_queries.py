@@ -30,6 +30,20 @@ def list_items(spark, folder):
     return rows.select("doc_id", F.sha2(markdown.list_item(F.col("text"), (F.col("doc_id") % 3).cast("int")), 256).alias("hash"))
 
 
+@REGISTRY.add("nested_items", """
+    WITH d AS (SELECT n_nationkey, n_regionkey, '- ' || n_name || coalesce(chr(10) || chr(10) || (SELECT string_agg('    - ' || s_name, chr(10) ORDER BY s_suppkey) FROM supplier WHERE s_nationkey = n_nationkey), '') AS item FROM nation)
+    SELECT r_regionkey, '- ' || r_name || (SELECT string_agg(chr(10) || chr(10) || '    ' || regexp_replace(item, '\\n([^\\n])', chr(10) || '    \\1', 'g'), '' ORDER BY n_nationkey) FROM d WHERE n_regionkey = r_regionkey) AS item FROM region""")
+def nested_items(spark, folder):
+    """A list of three levels from the inside out: each item carries the finished items below it."""
+    supplier = load(spark, folder, "supplier", "s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
+    lists = supplier.groupBy("n_nationkey").agg(notes.in_order(F.concat(F.lit("- "), F.col("s_name")), F.col("s_suppkey")).alias("inner"))
+    nation = load(spark, folder, "nation").join(lists, "n_nationkey", "left")
+    nation = nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey"), markdown.list_item(F.col("n_name"), F.lit(0), F.array("inner")).alias("item"))
+    below = nation.groupBy("r_regionkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "item"))), lambda x: x["item"]).alias("below"))
+    region = load(spark, folder, "region", "r_regionkey", "r_name").join(below, "r_regionkey", "left")
+    return region.select("r_regionkey", markdown.list_item(F.col("r_name"), F.lit(0), F.col("below")).alias("item"))
+
+
 @REGISTRY.add("md_escape", r"SELECT id, regexp_replace('* ' || title || ' [' || section || ']', '([\[*])', '\\\1', 'g') AS escaped FROM (" + _SECTIONS + ")")
 def md_escape(spark, folder):
     text = F.concat(F.lit("* "), F.col("title"), F.lit(" ["), F.col("section"), F.lit("]"))

@@ -132,6 +132,11 @@ def test_indent_and_list_items(spark):
     assert one(spark, markdown.indent(F.lit("\na b"))) == "\n    a b"
     assert one(spark, markdown.list_item(F.lit("a\nb"), F.lit(0))) == "- a\n    b"
     assert one(spark, markdown.list_item(F.lit("a\nb"), F.lit(1))) == "    - a\n        b"
+    assert one(spark, markdown.list_item(F.lit("a\x01\n\n$1b"), F.lit(1))) == "    - a\x01\n\n        $1b"
+    children = F.array(F.lit("more\n\ntext"), F.lit("- x\n- y"), F.lit(None), F.lit(" "))
+    assert one(spark, markdown.list_item(F.lit("a\nb"), F.lit(0), children)) == "- a\n    b\n\n    more\n\n    text\n\n    - x\n    - y"
+    inner = markdown.list_item(F.lit("in"), F.lit(0), F.array(F.lit("deep")))
+    assert one(spark, markdown.list_item(F.lit("out"), F.lit(1), F.array(inner))) == "    - out\n\n        - in\n\n            deep"
     with pytest.raises(Exception, match="needs a head"):
         one(spark, markdown.list_item(F.lit("  "), F.lit(0)))
 

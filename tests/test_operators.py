@@ -125,7 +125,10 @@ def test_graph(spark):
     loop = edges.unionByName(spark.createDataFrame([("x", "y"), ("y", "x")], "c string, p string"))
     assert rows(graph.cyclic_nodes(loop, "c", "p")) == [("x",), ("y",)]
     with pytest.raises(ValueError, match="cycle"):
-        graph.ancestors(loop, "c", "p", most=5)
+        graph.ancestors(loop, "c", "p")
+    chain = spark.range(70).select((F.col("id") + 1).alias("c"), F.col("id").alias("p"))
+    got = graph.ancestors(chain, "c", "p")
+    assert got.count() == 70 * 71 // 2 and got.agg(F.max("depth")).first()[0] == 70
 
 
 def test_notes(spark):
