@@ -121,7 +121,7 @@ def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         rules = spark.createDataFrame(character_rules(), "__piece string, __becomes array<struct<ch string, mark int>>")
         composed = spark.createDataFrame(compositions(), "__letter string, __composed string")
         _WRITTEN.clear()
-        _WRITTEN[session] = cut(rules.coalesce(1), "characters"), cut(composed.coalesce(1), "letters")
+        _WRITTEN[session] = cut(rules.coalesce(1), "characters", keep=True), cut(composed.coalesce(1), "letters", keep=True)
     rules, composed = _WRITTEN[session]
     return F.broadcast(rules), F.broadcast(composed)
 

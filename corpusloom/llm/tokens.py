@@ -26,7 +26,7 @@ def default_vocabulary() -> str:
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str):
-    """The encoder of a vocabulary file; one for each Python worker."""
+    """The encoder of a vocabulary file, which every executor must see at this path; one for each Python worker."""
     import tiktoken
 
     with open(vocabulary, "rb") as lines:
