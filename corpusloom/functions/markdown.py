@@ -83,6 +83,21 @@ def callout(kind: Column, title: Column, body: Column) -> Column:
     return F.concat(F.lit("> [!"), known, F.lit("] "), title, F.lit("\n> "), F.replace(body, F.lit("\n"), F.lit("\n> ")))
 
 
+# Fields of a study callout in their order.
+STUDY = ["Gist", "Why", "Numbers", "Watch out", "Mnemonic", "ACS", "Stage"]
+# Kinds of source notes in their order.
+SOURCE_NOTES = [
+    "Authority", "Source", "Citations", "Section authority", "Approvals", "Editorial Note", "Effective Date Note", "Amendment notes", "Cross Reference",
+]
+
+
+def study_callout(fields: dict[str, Column]) -> Column:
+    """A study callout of the fields that are not null, in their fixed order; null if all are."""
+    lines = [F.concat(F.lit(f"**{name}:** "), fields[name]) for name in STUDY if name in fields]
+    body = F.concat_ws("\n", *lines)
+    return F.when(F.length(body) > 0, callout(F.lit("study"), F.lit(CALLOUTS["study"]), body))
+
+
 def pipe_row(cells: Column) -> Column:
     """One row of a simple table; bars inside cells are escaped, null cells are empty."""
     return F.concat(F.lit("| "), F.array_join(F.transform(cells, lambda x: F.replace(F.coalesce(x, F.lit("")), F.lit("|"), F.lit("\\|"))), " | "), F.lit(" |"))

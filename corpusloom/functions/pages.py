@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,6 +60,57 @@ def plain_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
 
 
+def dom(html: Column) -> Column:
+    """(text, links, images) of a page as its tree has them: any quoting of attributes, every entity, no scripts and styles.
+
+    A Pandas UDF on Python's own parser, for pages beyond ``plain_text``, ``hrefs`` and ``images``; null for null.
+    """
+    from html.parser import HTMLParser
+
+    class Page(HTMLParser):
+        def __init__(self) -> None:
+            super().__init__(convert_charrefs=True)
+            self.parts, self.links, self.images, self.hidden = [], [], [], 0
+
+        def handle_starttag(self, tag, attrs):
+            named = dict(attrs)
+            self.hidden += tag in ("script", "style")
+            if named.get("href") is not None:
+                self.links.append(named["href"])
+            if tag == "img" and named.get("src") is not None:
+                self.images.append(named["src"])
+            self.parts.append(" ")
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in ("script", "style") and self.hidden > 0
+            self.parts.append(" ")
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.parts.append(data)
+
+    @F.pandas_udf("text string, links array<string>, images array<string>")
+    def parsed(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for html in pages:
+            if html is None:
+                rows.append((None, None, None))
+                continue
+            page = Page()
+            page.feed(html)
+            page.close()
+            rows.append((" ".join("".join(page.parts).split()), page.links, page.images))
+        return pd.DataFrame(rows, columns=["text", "links", "images"])
+
+    return parsed(html)
+
+
+def register_citations(text: Column) -> Column:
+    """Array of (volume, page) of the citations of the Federal Register in a note: 58 FR 51968."""
+    found = F.regexp_extract_all(text, F.lit(r"\b([0-9]{1,3} FR [0-9]{1,6})\b"), F.lit(1))
+    return F.transform(found, lambda x: F.struct(F.split_part(x, F.lit(" "), F.lit(1)).cast("int").alias("volume"), F.split_part(x, F.lit(" "), F.lit(3)).cast("int").alias("page")))
+
+
 def captions(text: Column) -> Column:
     """Array of (kind, number, caption) of the tables and figures of a note: **TBL 3-1-5** *caption*."""
     found = F.regexp_extract_all(text, F.lit(r"(\*\*(?:TBL|FIG) [0-9A-Z-]+\*\*(?: \*[^*\n]+\*)?)"), F.lit(1))

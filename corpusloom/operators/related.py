@@ -54,6 +54,11 @@ def related(texts: DataFrame, key: str, group: str, queries, records: int, k: in
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "dst", "same_group", "rank", "score")
 
 
+def indexed(suggestions: DataFrame, provider: tuple[str, str] = PROVIDER) -> DataFrame:
+    """Suggestions with name and version of their provider; any provider gives rows (src, dst, rank, score)."""
+    return suggestions.withColumns({"provider_id": F.lit(provider[0]), "provider_version": F.lit(provider[1])})
+
+
 def nearest_vectors(vectors: DataFrame, key: str, vector: str, queries, k: int = 5, block: int = 256, rows_at_once: int = 8192) -> DataFrame:
     """(src, dst, rank, score): the ``k`` nearest of all records by cosine, exactly, for each query record.
 

@@ -189,6 +189,13 @@ def running_total(spark, folder):
     return load(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").select("o_orderkey", F.round(F.sum("o_totalprice").over(order), 2).alias("running"))
 
 
+@REGISTRY.add("range_frame", "SELECT event_id, count(*) OVER w AS n, round(sum(value) OVER w, 4) AS total FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)")
+def range_frame(spark, folder):
+    """What each user did within the hour before each event."""
+    hour = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-3_600_000_000, 0)
+    return load(spark, folder, "events", "event_id", "user_id", "ts", "value").select("event_id", F.count(F.lit(1)).over(hour).alias("n"), F.round(F.sum("value").over(hour), 4).alias("total"))
+
+
 @REGISTRY.add("window_ranks", "SELECT s_suppkey, rank() OVER w AS rank, dense_rank() OVER w AS dense, ntile(4) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS quartile, round(percent_rank() OVER w, 6) AS pct FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_acctbal)")
 def window_ranks(spark, folder):
     w, total = Window.partitionBy("s_nationkey").orderBy("s_acctbal"), Window.partitionBy("s_nationkey").orderBy("s_acctbal", "s_suppkey")

@@ -45,6 +45,19 @@ def id_paragraph(spark, folder):
     return rows.select("l_orderkey", "l_linenumber", ids.paragraph_id(number).alias("paragraph_id"))
 
 
+@REGISTRY.add("id_aim", r"""
+    WITH n AS (SELECT DISTINCT string_split(citation[5:], '-') AS n FROM units WHERE layer = 'aim' AND citation LIKE 'AIM %')
+    SELECT DISTINCT 'aim-chapter-' || n[1] AS chapter_id, 'aim-' || n[1] || '-' || n[2] AS section_id, 'aim-appendix-' || n[1] AS appendix_id FROM n""")
+def id_aim(spark, folder):
+    """Identifiers of the chapters and sections that hold the paragraphs (and of the appendix of the same number)."""
+    rows = load(spark, folder, "units", "layer", "citation").where("layer = 'aim' and startswith(citation, 'AIM ')")
+    n = F.split(F.substring("citation", 5, 100), "-")
+    rows = rows.select(F.get(n, F.lit(0)).alias("chapter"), F.get(n, F.lit(1)).alias("section")).distinct()
+    return rows.select(
+        ids.aim_id("chapter", F.col("chapter")).alias("chapter_id"), ids.aim_id("section", F.col("chapter"), F.col("section")).alias("section_id"), ids.aim_id("appendix", F.col("chapter")).alias("appendix_id")
+    ).distinct()
+
+
 @REGISTRY.add("id_letter", "SELECT DISTINCT letter, CASE WHEN regexp_matches(lower(letter), '^[a-z]$') THEN 'pcg-letter-' || lower(letter) END AS letter_id FROM pcg_term")
 def id_letter(spark, folder):
     return load(spark, folder, "pcg_term", "letter").select("letter", ids.letter_id(F.lower("letter")).alias("letter_id")).distinct()
@@ -155,13 +168,23 @@ def html_title(spark, folder):
     return _pages(spark, folder).select("doc_id", pages.title(F.col("html")).alias("title"))
 
 
-@REGISTRY.add("html_text", rf"""
+_TEXT = rf"""
     SELECT doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'),
-      '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM ({_PAGES})""")
+      '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM ({_PAGES})"""
+
+
+@REGISTRY.add("html_text", _TEXT)
 def html_text(spark, folder):
     return _pages(spark, folder).select("doc_id", pages.plain_text(F.col("html")).alias("text"))
 
 
+@REGISTRY.add("html_dom", f"SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, 2 AS links, 1 AS images FROM ({_TEXT})")
+def html_dom(spark, folder):
+    """The same text from the parsed tree, with the number of links and images."""
+    rows = _pages(spark, folder).select("doc_id", pages.dom(F.col("html")).alias("d"))
+    return rows.select("doc_id", "d.text", F.size("d.links").alias("links"), F.size("d.images").alias("images"))
+
+
 @REGISTRY.add("page_links", f"""SELECT doc_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM ({_PAGES})""")
 def page_links(spark, folder):
     return _pages(spark, folder).select("doc_id", F.explode(pages.hrefs(F.col("html"))).alias("target"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids, markdown
-from corpusloom.operators import graph, links, related, terms
+from corpusloom.operators import graph, links, notes, related, terms
 from corpusloom.plans import Registry
 from corpusloom.sources.tables import load
 
@@ -101,6 +101,15 @@ def backlinks(spark, folder):
     return links.backlinks(rows, "unit_key", "to").select("to.kind", "to.target", F.array_join("sources", ",").alias("sources"), "n")
 
 
+@REGISTRY.add("reference_list", _REFS + """
+    SELECT unit_key, string_agg(target, '; ' ORDER BY list_position(['section', 'paragraph', 'aim_section', 'part'], kind), try_cast(regexp_extract(target, '^[0-9]+') AS BIGINT), try_cast(regexp_extract(target, '^[0-9]+[^0-9]+([0-9]+)', 1) AS BIGINT) NULLS FIRST, target) AS listed FROM refs GROUP BY unit_key""")
+def reference_list(spark, folder):
+    """References of a note in their order: sections by number, then the AIM, parts last."""
+    place = F.array_position(F.lit(["section", "paragraph", "aim_section", "part"]), F.col("kind"))
+    order = [place, *notes.natural(F.col("target"))]
+    return _refs(spark, folder).groupBy("unit_key").agg(notes.in_order(F.col("target"), *order, separator="; ").alias("listed"))
+
+
 _SEE = r"""
     WITH t AS (SELECT DISTINCT ON (term_key) term_key, term, see_also FROM pcg_term),
     items AS (SELECT DISTINCT term_key, unnest(see_also) AS item FROM t),
@@ -254,6 +263,12 @@ def tfidf_related_topk(spark, folder):
     return _related(spark, folder)
 
 
+@REGISTRY.add("related_index", _WEIGHTS + "SELECT src, dst, same_group, rank, score, 'lexical-tfidf' AS provider_id, '1' AS provider_version FROM top")
+def related_index(spark, folder):
+    """The suggestions as a provider gives them: with its name and version in every row."""
+    return related.indexed(_related(spark, folder))
+
+
 @REGISTRY.add("related_minus_explicit", f"""
     SELECT src, dst, score FROM ({_WEIGHTS} SELECT src, dst, score FROM top) WHERE NOT EXISTS (
       SELECT 1 FROM ({_REFS} SELECT * FROM refs) r JOIN (SELECT DISTINCT unit_key, layer, citation FROM units) x

@@ -258,16 +258,41 @@ def curated_order(spark, folder):
     return rows.select("term_key", (F.col("place") + 1).alias("place"), "item").distinct()
 
 
-@REGISTRY.add("source_notes", """
-    SELECT o_custkey, string_agg('**' || kind || ':** ' || items, chr(10) || chr(10) ORDER BY place) AS notes FROM (
-      SELECT o_custkey, list_position(['O', 'F', 'P'], o_orderstatus) AS place, ['Authority', 'Source', 'Citations'][list_position(['O', 'F', 'P'], o_orderstatus)] AS kind, string_agg(o_orderkey, '; ' ORDER BY o_orderkey) AS items FROM orders GROUP BY ALL) GROUP BY o_custkey""")
+_KINDS = "['" + "', '".join(markdown.SOURCE_NOTES) + "']"
+
+
+@REGISTRY.add("source_notes", f"""
+    SELECT o_custkey, string_agg('**' || {_KINDS}[place] || ':** ' || items, chr(10) || chr(10) ORDER BY place) AS notes FROM (
+      SELECT o_custkey, o_orderkey % 9 + 1 AS place, string_agg(o_orderkey, '; ' ORDER BY o_orderkey) AS items FROM orders GROUP BY ALL) GROUP BY o_custkey""")
 def source_notes(spark, folder):
-    place = F.array_position(F.array(*map(F.lit, "OFP")), F.col("o_orderstatus"))
-    kind = F.element_at(F.array(*map(F.lit, ["Authority", "Source", "Citations"])), F.col("place").cast("int"))
-    rows = load(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderstatus").withColumn("place", place).withColumn("kind", kind)
-    each = rows.groupBy("o_custkey", "place", "kind").agg(notes.in_order(F.col("o_orderkey").cast("string"), F.col("o_orderkey"), separator="; ").alias("items"))
-    text = F.concat(F.lit("**"), F.col("kind"), F.lit(":** "), F.col("items"))
-    return each.groupBy("o_custkey").agg(notes.in_order(text, F.col("place"), separator="\n\n").alias("notes"))
+    kind = F.element_at(F.array(*map(F.lit, markdown.SOURCE_NOTES)), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    rows = load(spark, folder, "orders", "o_custkey", "o_orderkey").withColumn("kind", kind)
+    each = rows.groupBy("o_custkey", "kind").agg(notes.in_order(F.col("o_orderkey").cast("string"), F.col("o_orderkey"), separator="; ").alias("items"))
+    text, place = F.concat(F.lit("**"), F.col("kind"), F.lit(":** "), F.col("items")), F.array_position(F.lit(markdown.SOURCE_NOTES), F.col("kind"))
+    return each.groupBy("o_custkey").agg(notes.in_order(text, place, separator="\n\n").alias("notes"))
+
+
+@REGISTRY.add("study_fields", """
+    SELECT c_custkey, '> [!study] Study' || chr(10) || array_to_string(list_filter(['> **Gist:** ' || c_name, '> **Why:** ' || CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '> **Numbers:** ' || c_nationkey,
+      '> **Mnemonic:** ' || CASE WHEN c_custkey % 3 = 0 THEN 'M' END, '> **Stage:** ' || (c_custkey % 5)], lambda x: x IS NOT NULL), chr(10)) AS callout FROM customer""")
+def study_fields(spark, folder):
+    """A study callout of every field that a record has."""
+    key = F.col("c_custkey")
+    fields = {
+        "Stage": (key % 5).cast("string"), "Gist": F.col("c_name"), "Why": F.when(key % 2 == 0, F.col("c_mktsegment")), "Numbers": F.col("c_nationkey").cast("string"),
+        "Watch out": F.lit(None).cast("string"), "Mnemonic": F.when(key % 3 == 0, "M"),
+    }
+    return load(spark, folder, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey").select("c_custkey", markdown.study_callout(fields).alias("callout"))
+
+
+@REGISTRY.add("register_citations", """
+    SELECT p_partkey, 10 + p_size AS volume, (p_partkey * 7)::INT AS page FROM part UNION ALL SELECT p_partkey, 60, 1 FROM part WHERE p_partkey % 2 = 0""")
+def register_citations(spark, folder):
+    """Citations of the Federal Register in amendment notes."""
+    rows = load(spark, folder, "part", "p_partkey", "p_size")
+    more = F.when(F.col("p_partkey") % 2 == 0, F.lit(", as amended at 60 FR 1")).otherwise("")
+    note = F.concat(F.lit("[Amdt. 91-235, "), (F.col("p_size") + 10).cast("string"), F.lit(" FR "), (F.col("p_partkey") * 7).cast("string"), more, F.lit("]"))
+    return rows.select("p_partkey", F.inline(pages.register_citations(note)))
 
 
 @REGISTRY.add("oral_prep", """

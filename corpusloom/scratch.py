@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[tuple[SparkSession, str, str | None]] = []
+_KEPT: list[tuple[SparkSession, str, str | None]] = []  # small fixed tables that stay until the interpreter ends
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,19 +29,19 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str, table: str | None = None) -> str:
-    """A fresh path below the scratch folder; removed when the interpreter ends."""
+def new_path(spark: SparkSession, name: str, table: str | None = None, keep: bool = False) -> str:
+    """A fresh path below the scratch folder; removed by ``drop_scratch`` (unless ``keep``) and when the interpreter ends."""
     path = f"{scratch_root(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
-    if not _WRITTEN:
-        atexit.register(drop_scratch)
-    _WRITTEN.append((spark, path, table))
+    if not _WRITTEN and not _KEPT:
+        atexit.register(drop_scratch, everything=True)
+    (_KEPT if keep else _WRITTEN).append((spark, path, table))
     return path
 
 
-def cut(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name, keep=keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -51,14 +52,15 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def drop_scratch() -> None:
-    """Delete every table written here; results that still read them become unreadable."""
-    while _WRITTEN:
-        spark, path, table = _WRITTEN.pop()
-        try:
-            if table:
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the session may be gone already
-            continue
+def drop_scratch(everything: bool = False) -> None:
+    """Delete the tables written here; results that still read them become unreadable.  Call it when a query's result is stored."""
+    for written in (_WRITTEN, _KEPT) if everything else (_WRITTEN,):
+        while written:
+            spark, path, table = written.pop()
+            try:
+                if table:
+                    spark.sql(f"DROP TABLE IF EXISTS {table}")
+                hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            except Exception:  # the session may be gone already
+                continue

@@ -5,14 +5,17 @@ from __future__ import annotations
 import json
 import logging
 import os
+import shutil
 import tempfile
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.scratch import new_path
+from corpusloom.scratch import cut
 
 
 @dataclass(frozen=True)
@@ -169,47 +172,151 @@ class SourceRegistry:
                 out.flush()
                 os.fsync(out.fileno())
             os.replace(name, path)
+            folder = os.open(path.parent, os.O_RDONLY)
+            try:
+                os.fsync(folder)
+            finally:
+                os.close(folder)
         except BaseException:
             Path(name).unlink(missing_ok=True)
             raise
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+class Locked(RuntimeError):
+    """Another process publishes to the same place."""
+
+
+@contextmanager
+def exclusive(spark: SparkSession, path: str):
+    """Exclusion of other processes that publish to ``path``: a lock file beside it, created only if it is not there.
+
+    It goes away with the block, also on failure; after a killed process it must be removed by hand.
+    """
+    store, lock = _hadoop(spark, path.rstrip("/") + ".lock")
+    try:
+        store.create(lock, False).close()
+    except Exception as held:
+        raise Locked(f"{path} is being published to (or {lock} was left behind)") from held
+    try:
+        yield
+    finally:
+        store.delete(lock, False)
+
+
+MANIFEST = "_current.json"
+
+
+def _manifest(spark: SparkSession, path: str) -> dict[str, str]:
+    """Version folder of each partition of a published table; an unpartitioned one has the partition ''."""
+    store, place = _hadoop(spark, f"{path}/{MANIFEST}")
+    if not store.exists(place):
+        return {}
+    stream = store.open(place)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The table that was published to ``path`` last: each partition from the version that holds it."""
+    found: DataFrame | None = None
+    parts = _manifest(spark, path)
+    for version in sorted(set(parts.values())):
+        base = f"{path}/{version}"
+        df = spark.read.option("basePath", base).parquet(*[f"{base}/{p}".rstrip("/") for p, v in parts.items() if v == version])
+        found = df if found is None else found.unionByName(df, allowMissingColumns=True)
+    if found is None:
+        raise FileNotFoundError(f"nothing was published to {path}")
+    return found
+
+
 def publish(df: DataFrame, path: str, *partitions: str, checks=None) -> None:
-    """Write ``df``, check what was written, and only then put it in place of ``path``.
+    """Write ``df`` as a new version below ``path``, check what was written, and only then make it the current one.
 
-    ``checks`` gets the written DataFrame and raises if it must not be published; then the old table stays as it was.  Only
-    partitions that ``df`` holds are replaced if ``partitions`` are named; others, such as curated ones, are not touched.
+    ``checks`` gets the written DataFrame and raises if it must not be published.  Versions are never overwritten; what readers
+    see is a manifest, replaced by one rename, so a failure at any time leaves the table as it was.  With ``partitions`` only
+    those that ``df`` holds change; others, such as curated ones, stay with their version.  Two publishers exclude each other.
     """
     spark = df.sparkSession
-    staged = new_path(spark, "staged")
-    df.write.parquet(staged)
-    written = spark.read.schema(df.schema).parquet(staged)
-    if checks is not None:
-        checks(written)
-    writer = written.write.mode("overwrite")
-    if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    writer.parquet(path)
-
-
-def write_notes(notes: DataFrame, folder: str) -> None:
-    """One text file per row (path, body), written by the executors straight to shared storage; a path outside is an error."""
-    bad = notes.where(F.col("path").isNull() | F.col("path").rlike(r"(^/|(^|/)\.\.(/|$))") | F.col("body").isNull())
+    version = f"v-{uuid.uuid4().hex}"
+    with exclusive(spark, path):
+        writer = df.write
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        writer.parquet(f"{path}/{version}")
+        written = spark.read.schema(df.schema).parquet(f"{path}/{version}")
+        if checks is not None:
+            checks(written)
+        current = _manifest(spark, path) if partitions else {}
+        if partitions:
+            store, held = _hadoop(spark, f"{path}/{version}" + "/*=*" * len(partitions))
+            current |= {str(x.getPath().toString()).split(f"/{version}/", 1)[1]: version for x in store.globStatus(held) or []}
+        else:
+            current = {"": version}
+        store, part = _hadoop(spark, f"{path}/.{version}.json")
+        out = store.create(part, True)
+        out.write(bytearray(json.dumps(current, sort_keys=True).encode()))
+        out.hsync()
+        out.close()
+        jvm = spark.sparkContext._jvm
+        over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.makeQualified(part).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(store.makeQualified(part), store.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")), over)
+
+
+# Folders of notes that are written by hand.
+CURATED = ("Collections", "Topics", "Study")
+
+
+def write_notes(notes: DataFrame, folder: str, curated: tuple[str, ...] = CURATED) -> None:
+    """One text file per row (path, body), written by the executors; ``folder`` must be on storage that all of them mount.
+
+    All notes are written to a staging folder inside first and only moved, file by file, when every one is there; a failure
+    before that changes nothing.  A path outside the folder or in a ``curated`` one, a missing body and two notes of one path
+    are errors.
+    """
+    bad = notes.where(F.col("path").isNull() | F.col("path").rlike(r"(^/|(^|/)\.\.?(/|$))") | F.col("body").isNull() | F.split_part("path", F.lit("/"), F.lit(1)).isin(*curated))
     if not bad.isEmpty():
-        raise ValueError("a note has no body, no path, or a path outside the folder")
+        raise ValueError("a note has no body, no path, or a path outside the folder or in a curated one")
     if notes.groupBy("path").count().where("count > 1").limit(1).count():
         raise ValueError("two notes have one path")
+    staging = Path(folder) / f".staging-{uuid.uuid4().hex}"
 
-    def write(batches):
+    def stage(batches):
         import pandas as pd
 
         for pdf in batches:
             for path, body in zip(pdf.path, pdf.body, strict=True):
-                target = Path(folder) / path
+                target = staging / path
                 target.parent.mkdir(parents=True, exist_ok=True)
-                part = target.with_name(f".{target.name}.{os.getpid()}.tmp")
+                part = target.with_name(f".{target.name}.{uuid.uuid4().hex}.tmp")
                 part.write_text(body, encoding="utf-8")
                 os.replace(part, target)
+            yield pd.DataFrame({"path": pdf.path})
+
+    def move(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for path in pdf.path:
+                target = Path(folder) / path
+                target.parent.mkdir(parents=True, exist_ok=True)
+                try:
+                    os.replace(staging / path, target)
+                except FileNotFoundError:  # a task that runs again finds it moved
+                    if not target.exists():
+                        raise
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    notes.select("path", "body").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    try:
+        staged = cut(notes.select("path", "body").mapInPandas(stage, "path string"), "staged")
+        staged.mapInPandas(move, "n long").agg(F.sum("n")).collect()
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)

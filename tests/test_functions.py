@@ -105,6 +105,13 @@ def test_injected_parts_are_removed_and_nothing_else(spark):
     assert one(spark, pages.strip_injected(F.lit(CLEAN.format("")))) == CLEAN.format("")
 
 
+def test_tree_of_a_page(spark):
+    page = "<html><style>p{}</style><p>A&eacute;&#66;<b>c</b></p><a HREF='/x?a=1&amp;b=2'>go</a><IMG src=i.png><script>no('</p>')</script>end"
+    got = values(spark, [(page,), (None,), ("",)], "h string", pages.dom(F.col("h")).alias("d"))
+    assert [tuple(g[0]) for g in got] == [("A\u00e9B c go end", ["/x?a=1&b=2"], ["i.png"]), (None, None, None), ("", [], [])]
+    assert one(spark, pages.register_citations(F.lit("58 FR 51968, 1234 FR 5, 7 FR 9"))) == [(58, 51968), (7, 9)]
+
+
 def test_addresses(spark):
     assert one(spark, pages.cache_busted(F.lit("https://h/a"), F.lit("x"))) == "https://h/a?cb=x"
     assert one(spark, pages.cache_busted(F.lit("https://h/a?b=1"), F.lit("x"))) == "https://h/a?b=1&cb=x"

@@ -87,26 +87,52 @@ def test_readers(spark, tmp_path):
     assert landing.files(spark, str(tmp_path / "vault")).first().checksum.startswith("sha256:")
 
 
-def test_publish_fails_closed(spark, tmp_path):
+def test_publish_fails_closed(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "out")
-    landing.publish(spark.createDataFrame([("a", 1), ("b", 1)], "p string, x int"), path, "p")
+    table = lambda *rows: spark.createDataFrame(rows, "p string, x int")
+    now = lambda: sorted((r.p, r.x) for r in landing.published(spark, path).collect())
+    with pytest.raises(FileNotFoundError):
+        landing.published(spark, path)
+    landing.publish(table(("a", 1), ("b c/d", 1)), path, "p")
 
     def refuse(df):
         raise ValueError("no")
 
     with pytest.raises(ValueError, match="no"):
-        landing.publish(spark.createDataFrame([("a", 9)], "p string, x int"), path, "p", checks=refuse)
-    assert spark.read.parquet(path).where("x = 9").count() == 0
-    landing.publish(spark.createDataFrame([("a", 2)], "p string, x int"), path, "p")
-    assert sorted((r.p, r.x) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1)]
+        landing.publish(table(("a", 9)), path, "p", checks=refuse)
+    assert now() == [("a", 1), ("b c/d", 1)]
+    with monkeypatch.context() as m:
+        m.setattr(landing.json, "dumps", lambda *a, **k: refuse(None))
+        with pytest.raises(ValueError, match="no"):
+            landing.publish(table(("a", 9)), path, "p")
+    assert now() == [("a", 1), ("b c/d", 1)]
+    landing.publish(table(("a", 2)), path, "p")
+    assert now() == [("a", 2), ("b c/d", 1)]
+    whole = str(tmp_path / "whole")
+    landing.publish(table(("a", 1)), whole)
+    landing.publish(table(("z", 3)), whole)
+    assert [tuple(r) for r in landing.published(spark, whole).collect()] == [("z", 3)]
+
+
+def test_publishers_exclude_each_other(spark, tmp_path):
+    path = str(tmp_path / "out")
+    with landing.exclusive(spark, path), pytest.raises(landing.Locked):
+        landing.publish(spark.createDataFrame([("a", 1)], "p string, x int"), path)
+    landing.publish(spark.createDataFrame([("a", 1)], "p string, x int"), path)
 
 
 def test_write_notes(spark, tmp_path):
     df = spark.createDataFrame([("a/b.md", "one"), ("c.md", "two")], "path string, body string")
     landing.write_notes(df, str(tmp_path))
     assert (tmp_path / "a/b.md").read_text() == "one" and not list(tmp_path.rglob("*.tmp"))
-    for bad in ("../x.md", "/x.md", None):
+    landing.write_notes(spark.createDataFrame([("a/b.md", "again")], "path string, body string"), str(tmp_path))
+    assert (tmp_path / "a/b.md").read_text() == "again" and [p.name for p in tmp_path.iterdir() if p.name.startswith(".staging")] == []
+    for bad in ("../x.md", "/x.md", None, "Topics/x.md", "a/./b.md"):
         with pytest.raises(ValueError):
             landing.write_notes(spark.createDataFrame([(bad, "x")], "path string, body string"), str(tmp_path))
+    broken = spark.createDataFrame([("c.md", "new"), ("a" * 300 + ".md", "too long a name")], "path string, body string")
+    with pytest.raises(Exception, match="too long"):
+        landing.write_notes(broken, str(tmp_path))
+    assert (tmp_path / "c.md").read_text() == "two"
     with pytest.raises(ValueError, match="one path"):
         landing.write_notes(df.union(df), str(tmp_path))
