@@ -21,6 +21,14 @@ ACRONYM = "^[A-Z0-9]{1,5}s?$"
 WORDS = r"[\p{L}\p{M}0-9]+(?:[-'/][\p{L}\p{M}0-9]+)*"
 
 
+def multiword_or_listed(terms: DataFrame, term: str, gate: DataFrame) -> DataFrame:
+    """Terms that may be linked: those of several words, acronyms, and of the others those that the gate (column of the same name) lists in any case."""
+    words = F.size(F.regexp_extract_all(term, F.lit(WORDS), F.lit(0)))
+    listed = gate.select(F.lower(term).alias("__term")).distinct().withColumn("__listed", F.lit(True))
+    rows = terms.withColumn("__term", F.lower(term)).join(listed, "__term", "left")
+    return rows.where((words >= 2) | F.col(term).rlike(ACRONYM) | F.col("__listed")).drop("__term", "__listed")
+
+
 FEW = 200_000  # first words of a dictionary up to which they are broadcast (some MB)
 
 

@@ -213,6 +213,17 @@ def glossary_terms(spark, folder):
     return terms.matched_terms(entries.select(F.col("term_key").alias("unit_key"), "text"), "unit_key", entries.select("term_key", "term"), "term_key")
 
 
+@REGISTRY.add("glossary_multiword", _GLOSSARY + f"""
+    SELECT unit_key, term_key FROM found JOIN t USING (term_key) WHERE len(regexp_extract_all(term, '{_WORD}')) >= 2 OR regexp_matches(term, '^[A-Z0-9]{{1,5}}s?$')
+      OR lower(term) IN (SELECT lower(item) FROM (SELECT unnest(see_also) AS item FROM pcg_term) WHERE item IS NOT NULL)""")
+def glossary_multiword(spark, folder):
+    """Glossary terms of several words, acronyms, and single words only if some entry refers to them."""
+    entries = load(spark, folder, "pcg_term", "term_key", "term", "text", "see_also").dropDuplicates(["term_key"])
+    gate = load(spark, folder, "pcg_term", "see_also").select(F.explode("see_also").alias("term"))
+    dictionary = terms.multiword_or_listed(entries.select("term_key", "term"), "term", gate)
+    return terms.matched_terms(entries.select(F.col("term_key").alias("unit_key"), "text"), "unit_key", dictionary, "term_key")
+
+
 @REGISTRY.add("term_gate", _GLOSSARY + "SELECT unit_key, term_key FROM found WHERE unit_key <> term_key AND term_key NOT IN (SELECT term_key FROM t WHERE length(term) < 5)")
 def term_gate(spark, folder):
     """Matches without those of gated (here: short) terms, and without a definition's own term."""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import markdown, pages
 from corpusloom.operators import notes
+from corpusloom.operators.related import PROVIDER
 from corpusloom.plans import Registry
 from corpusloom.sources.tables import load
 
@@ -67,6 +68,13 @@ def folder_name(spark, folder):
     return load(spark, folder, "cfr_section", "part").distinct().select("part", markdown.folder("Part", F.col("part")).alias("folder"))
 
 
+@REGISTRY.add("folder_chapter", "SELECT DISTINCT split_part(citation[5:], '-', 1) AS chapter, 'Chapter ' || lpad(split_part(citation[5:], '-', 1), 2, '0') AS folder FROM units WHERE layer = 'aim' AND citation LIKE 'AIM %'")
+def folder_chapter(spark, folder):
+    rows = load(spark, folder, "units", "layer", "citation").where("layer = 'aim' and startswith(citation, 'AIM ')")
+    rows = rows.select(F.split_part(F.substring("citation", 5, 100), F.lit("-"), F.lit(1)).alias("chapter")).distinct()
+    return rows.select("chapter", markdown.folder("Chapter", F.col("chapter"), 2).alias("folder"))
+
+
 @REGISTRY.add("reserved_ranges", r"SELECT DISTINCT id, regexp_extract(section, '^(.*[0-9])-([0-9].*)$', 1) AS first_section, regexp_extract(section, '^(.*[0-9])-([0-9].*)$', 2) AS last_section FROM cfr_section WHERE regexp_matches(section, '^.*[0-9]-[0-9].*$')")
 def reserved_ranges(spark, folder):
     span = r"^(.*[0-9])-([0-9].*)$"
@@ -161,10 +169,10 @@ def note_assembly(spark, folder):
 
 
 @REGISTRY.add("related_section", """
-    SELECT o_custkey, '## Related' || chr(10) || chr(10) || '> [!info] derived' || chr(10) || chr(10) || string_agg('- [[' || o_orderkey || '|' || o_orderpriority || ']]', chr(10) ORDER BY o_totalprice, o_orderkey) AS text FROM orders GROUP BY 1""")
+    SELECT o_custkey, '## Related' || chr(10) || chr(10) || '> [!info] Suggested by lexical-tfidf, version 1; not reviewed' || chr(10) || chr(10) || string_agg('- [[' || o_orderkey || '|' || o_orderpriority || ']]', chr(10) ORDER BY o_totalprice, o_orderkey) AS text FROM orders GROUP BY 1""")
 def related_section(spark, folder):
     rows = load(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice").withColumn("place", F.struct("o_totalprice", "o_orderkey"))
-    return notes.related_section(rows, "o_custkey", "place", F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), "## Related", "derived")
+    return notes.related_section(rows, "o_custkey", "place", F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), "## Related", "Suggested by {}, version {}; not reviewed".format(*PROVIDER))
 
 
 _ELEMENTS = "SELECT 'PA.I.' || chr((65 + p_partkey % 20)::INT) || '.K' || p_size || CASE WHEN p_partkey % 2 = 0 THEN 'a' ELSE '' END AS code, p_partkey FROM part"
@@ -200,12 +208,13 @@ def acs_backrefs(spark, folder):
 
 @REGISTRY.add("paragraph_labels", r"""
     WITH l AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?m)^(\([0-9A-Za-z]{1,4}\))', 1)) AS label FROM documents)
-    SELECT doc_id, label, count(*) AS n, CASE WHEN regexp_matches(label, '^\([ivx]+\)$') THEN 'roman' WHEN regexp_matches(label, '^\([a-z]\)$') THEN 'lower' WHEN regexp_matches(label, '^\([0-9]+\)$') THEN 'number' WHEN regexp_matches(label, '^\([A-Z]\)$') THEN 'upper' ELSE 'other' END AS kind FROM l GROUP BY ALL""")
+    SELECT doc_id, label, count(*) AS n, CASE WHEN regexp_matches(label, '^\([ivx]+\)$') THEN 'roman' WHEN regexp_matches(label, '^\([a-z]\)$') THEN 'lower' WHEN regexp_matches(label, '^\([0-9]+\)$') THEN 'number' WHEN regexp_matches(label, '^\([A-Z]\)$') THEN 'upper' ELSE 'other' END AS kind,
+      list_position(['lower', 'number', 'roman', 'upper'], kind) AS depth FROM l GROUP BY doc_id, label""")
 def paragraph_labels(spark, folder):
     rows = load(spark, folder, "documents", "doc_id", "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(?:^|\n)(\([0-9A-Za-z]{1,4}\))"), F.lit(1))).alias("label"))
     label = F.col("label")
     kind = F.when(label.rlike(r"^\([ivx]+\)$"), "roman").when(label.rlike(r"^\([a-z]\)$"), "lower").when(label.rlike(r"^\([0-9]+\)$"), "number").when(label.rlike(r"^\([A-Z]\)$"), "upper").otherwise("other")
-    return rows.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", kind)
+    return rows.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", kind).withColumn("depth", F.nullif(F.array_position(F.lit(["lower", "number", "roman", "upper"]), F.col("kind")), F.lit(0).cast("long")))
 
 
 @REGISTRY.add("amendments", r"SELECT doc_id, regexp_extract(note, 'Docket No\. ([0-9]+)', 1) AS docket, regexp_extract(note, 'Amdt\. ([0-9-]+)', 1) AS amendment FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\[(Docket No\.[^\]]*)\]', 1)) AS note FROM documents)")

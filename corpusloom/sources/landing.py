@@ -56,6 +56,13 @@ def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
     return spark.read.format("xml").option("rowTag", row_tag).option("mode", "FAILFAST").schema(schema).load(path)
 
 
+def title_version(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """(latest_issue_date) of one title in a landed list of titles; no row if the list does not name it."""
+    schema = "titles array<struct<number: int, latest_issue_date: string>>"
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", "true").json(path)
+    return rows.select(F.explode("titles").alias("t")).where(F.col("t.number") == number).select("t.latest_issue_date")
+
+
 def json_layer(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A curated or derived JSON layer under a fixed schema; a missing file is an empty layer."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

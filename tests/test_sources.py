@@ -76,6 +76,9 @@ def test_readers(spark, tmp_path):
     (tmp_path / "x.xml").write_text('<ECFR><DIV8 N="91.1" TYPE="SECTION"><HEAD>One</HEAD></DIV8><DIV8 N="91.3"><HEAD>Three</HEAD></DIV8></ECFR>')
     got = landing.xml_rows(spark, str(tmp_path / "x.xml"), "DIV8", "_N string, HEAD string").orderBy("_N").collect()
     assert [tuple(r) for r in got] == [("91.1", "One"), ("91.3", "Three")]
+    (tmp_path / "titles.json").write_text('{"titles": [{"number": 13, "latest_issue_date": "x"},\n {"number": 14, "latest_issue_date": "2026-07-01", "more": 1}]}')
+    assert [r[0] for r in landing.title_version(spark, str(tmp_path / "titles.json"), 14).collect()] == ["2026-07-01"]
+    assert landing.title_version(spark, str(tmp_path / "titles.json"), 15).count() == 0
     assert landing.json_layer(spark, str(tmp_path / "none.json"), "a int").count() == 0
     (tmp_path / "l.json").write_text('[{"a": 1},\n {"a": 2}]')
     assert landing.json_layer(spark, str(tmp_path / "l.json"), "a int").count() == 2
