@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import expand_pairs, joined_text, latest
 from corpusloom.llm.forms import one_form
 from corpusloom.llm.near_duplicates import groups_of, similar_sets, similar_strings
-from corpusloom.scratch import cut
+from corpusloom.scratch import cut, free_shuffles
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -59,13 +59,22 @@ def unit_copies(units: DataFrame, least: float = 0.5, run: int = 3, words: int =
     """
     texts = latest(units, "unit_key", "collected_at", "texts").select("unit_key", joined_text(F.col("texts")).alias("text"))
     spoken = one_form(texts, "text", "unit_key").select("unit_key", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("words"))
-    spoken = spoken.where(F.size("words") >= max(words, run)).withColumn("same", F.sha2(F.array_join("words", " "), 256))
+    # words hold no blank, so they travel as one string, which is a fraction of their array or of the hashes of their runs
+    spoken = spoken.where(F.size("words") >= max(words, run)).select("unit_key", F.array_join("words", " ").alias("words"))
     spoken = cut(spoken, "unit-words")
-    members, classes = _classes(spoken, "unit_key", "words")
-    at = lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(run)])
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - run), at))
-    sets = cut(classes.select("item", runs.alias("tokens")), "unit-runs")
-    return Copies(cut(members, "unit-members"), cut(similar_sets(sets, least).select("a", "b"), "unit-links"))
+    free_shuffles(units.sparkSession)
+    members, classes = _classes(spoken.withColumn("same", F.sha2("words", 256)), "unit_key", "words")
+    members, classes = cut(members, "unit-members"), cut(classes.select("item", "words"), "unit-classes")
+    free_shuffles(units.sparkSession)
+
+    def runs(held):
+        at = lambda w, i: F.xxhash64(*[F.get(w, i + j) for j in range(run)])
+        of = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - run), lambda i: at(w, i)))
+        return F.get(F.transform(F.array(F.split(held, " ")), of), F.lit(0))  # split once, not at each run
+
+    links = cut(similar_sets(classes, least, runs).select("a", "b"), "unit-links")
+    free_shuffles(units.sparkSession)
+    return Copies(members, links)
 
 
 def term_copies(terms: DataFrame, edits: int = 2, least: int = 8) -> Copies:
@@ -85,7 +94,9 @@ def term_copies(terms: DataFrame, edits: int = 2, least: int = 8) -> Copies:
     bags = classes.where(F.size(words) > 0).select("item", F.array_join(F.array_sort(words), " ").alias("bag"))
     l, r = bags.alias("l"), bags.alias("r")
     moved = l.join(r, (F.col("l.bag") == F.col("r.bag")) & (F.col("l.item") < F.col("r.item"))).select(F.col("l.item").alias("a"), F.col("r.item").alias("b"))
-    return Copies(members, cut(edited.unionByName(moved).distinct(), "term-links"))
+    links = cut(edited.unionByName(moved).distinct(), "term-links")
+    free_shuffles(terms.sparkSession)
+    return Copies(members, links)
 
 
 def spelling_pairs(rows: DataFrame, key: str) -> DataFrame:

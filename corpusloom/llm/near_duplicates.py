@@ -9,21 +9,31 @@ members can have is enough.  A pair of records must pass the same test and meet
 must have in common; what remains is compared exactly.  Equal records are one class beforehand.
 
 The trees are built for every root at every size, and nothing is capped: every bound is a proof that a pair cannot qualify.
+
+Each record is written once with its roots, and ``walk`` builds and walks the trees of blocks of records within tasks.  The same
+trees as tables (``ranked_records``, ``forest_of``, ``nodes_of``, ``met_nodes``, ``followed``) serve to count and to compare.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.scratch import cut, fixed
+from corpusloom.llm import walk
+from corpusloom.scratch import cut, drop_tables, fixed, free_shuffles, new_path
+
+if TYPE_CHECKING:
+    from collections.abc import Callable
 
 WORDS = 4  # 64-bit words of a bitmap
 NODE = 16  # records that a node holds on average at most
 MEET = 6  # roots at which two similar sets meet at least, or at all they share if these are fewer
 BITS = [f"b{i}" for i in range(WORDS)]
+BUCKETS = 1 << 22  # counters by which tokens are ranked; tokens that share one only rank as more frequent
+ROWS = 1024  # sets ranked at once
 
 
 def bit_columns(token: Column) -> list[Column]:
@@ -77,6 +87,43 @@ class SetOverlap:
         """Sizes of one band differ by at most a quarter."""
         return F.floor(F.log(size.cast("double")) / F.log(F.lit(1.25)))
 
+    def may(self, l, r, i, j):
+        """``possible`` for the pairs (i, j) of two levels of a walk: those of them that pass."""
+        import numpy as np
+
+        t, slack = self.least, 1e-9
+        reach = np.minimum(l.reach[i], r.reach[j]) + (MEET - 1)
+        fit = (1 + t) * reach + slack >= t * (l.least[i] + r.least[j])
+        fit &= (l.most[i] + slack >= t * r.least[j]) & (r.most[j] + slack >= t * l.least[i])
+        i, j = i[fit], j[fit]
+        both = np.bitwise_count(l.marks[i] & r.marks[j]).sum(axis=1, dtype=np.int64)
+        fit = l.most[i] - (1 + t) * np.maximum(l.bits[i] - both, 0) + slack >= t * r.least[j]
+        fit &= r.most[j] - (1 + t) * np.maximum(r.bits[j] - both, 0) + slack >= t * l.least[i]
+        return i[fit], j[fit]
+
+    def bands(self, size):
+        """``band`` of many sizes."""
+        import numpy as np
+
+        return np.floor(np.log(size) / np.log(1.25)).astype(np.int64)
+
+    def meetings(self, together):
+        """Roots at which two similar sets of so many tokens together meet at least."""
+        import numpy as np
+
+        return np.minimum(MEET, np.ceil(self.least / (1 + self.least) * together - 1e-9))
+
+    def roots(self, size, shared):
+        """How many of the ``shared`` ranked tokens of a set are roots; negative if too few are shared for any partner.
+
+        The first ``MEET`` tokens that two similar sets share cannot lie so far back in either that fewer than the needed ones would
+        follow, so a record needs no roots behind that place.
+        """
+        import numpy as np
+
+        need = np.ceil(self.least * size - 1e-9).astype(np.int64)
+        return np.where(shared < need, -1, np.minimum(shared, shared - need + MEET))
+
 
 @dataclass(frozen=True)
 class Edits:
@@ -102,6 +149,24 @@ class Edits:
         """Four lengths."""
         return F.floor(size / 4)
 
+    def may(self, l, r, i, j):
+        """``possible`` for the pairs (i, j) of two levels of a walk: those of them that pass."""
+        import numpy as np
+
+        fit = (l.least[i] <= r.most[j] + self.most) & (r.least[j] <= l.most[i] + self.most)
+        i, j = i[fit], j[fit]
+        both = np.bitwise_count(l.marks[i] & r.marks[j]).sum(axis=1, dtype=np.int64)
+        fit = (l.bits[i] - both <= 2 * self.most) & (r.bits[j] - both <= 2 * self.most)
+        return i[fit], j[fit]
+
+    def bands(self, size):
+        """``band`` of many sizes."""
+        return size // 4
+
+    def meetings(self, together):
+        """One root is enough."""
+        return 1
+
 
 MEMBER = ["item", "least", "most", "reach", "bits", *BITS]
 
@@ -137,27 +202,6 @@ def followed(met: DataFrame, test: SetOverlap | Edits) -> DataFrame:
     return met.where(test.possible("l", "r"))
 
 
-def dual_traversal(left: DataFrame, right: DataFrame | None, test: SetOverlap | Edits) -> DataFrame:
-    """(a, b, size_a, size_b), a < b, once for each of the roots at which two records meet that may satisfy ``test``.
-
-    Both sides are forests, as ``nodes_of`` takes them; ``right`` is None for trees walked with themselves.  The records of a
-    node travel with it, so a pair of nodes that is followed needs no further join.  Joins are merge joins: what is exploded here
-    is larger than the files behind it, by whose size Spark would choose.
-    """
-    own = right is None
-    kept = followed(met_nodes(nodes_of(left, test), None if own else nodes_of(right, test)), test)
-    once = (F.col("l.band") != F.col("r.band")) | (F.col("l.slot") != F.col("r.slot"))
-    rows = kept.select(once.alias("apart"), F.col("r.members").alias("ys"), F.explode("l.members").alias("x"))
-    rows = rows.select("apart", "x", F.explode("ys").alias("y"))
-    order = (F.col("apart") | (F.col("x.item") < F.col("y.item"))) if own else (F.col("x.item") != F.col("y.item"))
-    rows = rows.where(order & test.possible("x", "y"))
-    swap = F.col("x.item") < F.col("y.item")
-    return rows.select(
-        F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b"),
-        F.when(swap, F.col("x.most")).otherwise(F.col("y.most")).alias("size_a"), F.when(swap, F.col("y.most")).otherwise(F.col("x.most")).alias("size_b"),
-    )
-
-
 def forest_of(records: DataFrame, test: SetOverlap) -> DataFrame:
     """Roots of records (item, size, bits, b0..., ranked), ``ranked`` their shared tokens (df, token) from the rarest on.
 
@@ -184,19 +228,80 @@ def ranked_records(sets: DataFrame, test: SetOverlap) -> DataFrame:
     return records.select("item", "size", (bits + F.col("size") - F.size("ranked")).alias("bits"), *BITS, "ranked")
 
 
-def similar_sets(sets: DataFrame, least: float) -> DataFrame:
+def counted_tokens(tokens: DataFrame) -> str:
+    """Place of the counters (bucket, n) of a table of tokens: in how many sets those of a bucket occur."""
+    path = new_path(tokens.sparkSession, "counters")
+    counts = tokens.groupBy(F.col("token").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts.select("bucket", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def ranked_roots(sets: DataFrame, counters: str, test: SetOverlap) -> DataFrame:
+    """(item, size, shared, bits, b0..., roots) of the sets (item, tokens) that may have a partner.
+
+    Tokens are ranked from the rarest on by the count of their bucket, then by themselves: one order for all sets, whatever else is
+    in a bucket.  A token alone in its bucket is shared with nobody: it is left out and counts as a bit that no other has.
+    Roots are 32 bits of the token; two of one value only add meetings.
+    """
+
+    def ranked(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyarrow import dataset
+
+        store, place = walk.opened(counters)
+        counts = np.zeros(BUCKETS, np.int32)
+        for part in dataset.dataset(place, filesystem=store, format="parquet").to_batches():
+            counts[np.asarray(part.column("bucket"))] = np.asarray(part.column("n"))
+
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            sizes = np.asarray(batch.column("tokens").value_lengths()).astype(np.int64)
+            token, n = np.asarray(batch.column("tokens").flatten()), len(sizes)
+            record, count = np.repeat(np.arange(n), sizes), counts[token & (BUCKETS - 1)]
+            known = count > 1
+            token, record, count = token[known], record[known], count[known]
+            order = np.lexsort((token, count, record))
+            token, record = token[order], record[order]
+            shared = np.bincount(record, minlength=n)
+            places = np.zeros((n, 64 * WORDS), bool)
+            places[record, token & (64 * WORDS - 1)] = True
+            marks = np.packbits(places, axis=1, bitorder="little").view(np.int64)
+            bits = places.sum(axis=1) + sizes - shared
+            most = test.roots(sizes, shared)
+            at = np.arange(len(token)) - np.repeat(np.cumsum(shared) - shared, shared)
+            roots = (token >> 32 ^ token).astype(np.int32)[at < most[record]]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.maximum(most, 0))].astype(np.int32)), pa.array(roots))
+            columns = [batch.column("item"), *[pa.array(x.astype(np.int32)) for x in (sizes, shared, bits)], *[pa.array(marks[:, k].copy()) for k in range(WORDS)], lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["item", "size", "shared", "bits", *BITS, "roots"]).filter(pa.array(most > 0))
+
+    kinds = "item long, size int, shared int, bits int, " + ", ".join(f"{b} long" for b in BITS) + ", roots array<int>"
+    return sets.where(F.size("tokens") > 0).mapInArrow(ranked, kinds)
+
+
+def walked(left: str, right: str | None, test: SetOverlap | Edits, like: DataFrame) -> DataFrame:
+    """(a, b), a < b, written once, of planted records that may satisfy ``test``; what was planted is dropped."""
+    met = cut(walk.met_often(like.sparkSession, left, right, BITS, test, NODE), "candidates")
+    drop_tables(*filter(None, (left, right)))
+    return met
+
+
+def similar_sets(sets: DataFrame, least: float, tokens: Callable[[Column], Column] = lambda held: held) -> DataFrame:
     """Pairs (a, b, overlap) with a < b of sets whose shared tokens / all tokens of both are at least ``least``.
 
-    ``sets`` has (item BIGINT, tokens ARRAY<BIGINT>): a set per row, tokens distinct hashes.  Empty and null sets have no
-    partner, and a set whose tokens occur nowhere else takes no further part.
+    ``sets`` has (item BIGINT, tokens ARRAY<BIGINT>): a set per row, tokens distinct hashes.  Its second column may hold anything
+    shorter from which ``tokens`` makes them; this is then what joins move.  Empty and null sets have no partner, and a set whose
+    tokens occur nowhere else takes no further part.
     """
-    test = SetOverlap(least)
-    forest = forest_of(cut(ranked_records(sets, test), "records"), test)
-    met = dual_traversal(forest, None, test).groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max(F.col("size_a") + F.col("size_b")).alias("together"))
-    candidates = met.where(F.col("met") >= F.least(F.lit(MEET), test.needed(F.col("together")))).select("a", "b")
-    a = sets.select(F.col("item").alias("a"), F.col("tokens").alias("tokens_a"))
-    b = sets.select(F.col("item").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = candidates.join(a, "a").join(b, "b").withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
+    test, held = SetOverlap(least), sets.columns[1]
+    rows = sets.select("item", tokens(F.col(held)).alias("tokens"))
+    counters = counted_tokens(rows.select(F.explode("tokens").alias("token")))
+    free_shuffles(sets.sparkSession)
+    candidates = walked(walk.planted(ranked_roots(rows, counters, test), "records"), None, test, sets)
+    drop_tables(counters)
+    a = sets.select(F.col("item").alias("a"), F.col(held).alias("held_a"))
+    b = sets.select(F.col("item").alias("b"), F.col(held).alias("held_b"))
+    both = candidates.join(a, "a").join(b, "b").select("a", "b", tokens(F.col("held_a")).alias("tokens_a"), tokens(F.col("held_b")).alias("tokens_b"))
+    both = both.withColumn("overlap", F.size(F.array_intersect("tokens_a", "tokens_b")))
     enough = F.col("overlap") >= F.lit(least) * (F.size("tokens_a") + F.size("tokens_b") - F.col("overlap")) - 1e-9
     return both.where(enough).select("a", "b", "overlap")
 
@@ -230,16 +335,12 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
 
     parts = F.sequence(F.lit(0), F.lit(edits))
 
+    def root(*of: Column) -> Column:
+        return F.shiftright(F.xxhash64(*of), 32).cast("int")
+
     def kept(i: Column) -> Column:
         start, size = seg(n, i)
-        return F.xxhash64(n, i, F.substring("text", start, size))
-
-    index = texts.select("item", n.alias("size"), F.explode(F.array_distinct(F.transform(parts, kept))).alias("root"))
-
-    def planted(rows: DataFrame) -> DataFrame:
-        """Rows with the number of records that have their root, and with the bitmap of their own."""
-        sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("most_members"))
-        return rows.join(sizes.hint("merge"), "root").join(marked, "item").withColumn("reach", F.lit(0))
+        return root(n, i, F.substring("text", start, size))
 
     shifts = F.sequence(F.lit(-edits), F.lit(edits))
 
@@ -249,14 +350,20 @@ def similar_strings(strings: DataFrame, edits: int = 2) -> DataFrame:
         def at(i: Column) -> Column:
             start, size = seg(length, i)
             inside = F.filter(shifts, lambda s: (start + s >= 1) & (start + s + size - 1 <= n))
-            return F.transform(inside, lambda s: F.xxhash64(length, i, F.substring("text", (start + s).cast("int"), size)))
+            return F.transform(inside, lambda s: root(length, i, F.substring("text", (start + s).cast("int"), size)))
 
         return F.flatten(F.transform(parts, at))
 
-    roots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), probed))
-    probe = texts.select("item", n.alias("size"), F.explode(F.array_distinct(roots)).alias("root"))
+    def planted(roots: Column, name: str) -> str:
+        """Place of the texts with these roots."""
+        rows = texts.select("item", n.alias("size"), F.lit(0).alias("shared"), F.array_distinct(roots).alias("roots")).join(marked, "item")
+        return walk.planted(rows.select(*walk.RECORD, *BITS), name)
+
     marked = cut(marked, "marked").hint("merge")
-    candidates = dual_traversal(planted(cut(probe, "probe")), planted(cut(index, "index")), Edits(edits)).select("a", "b").distinct()
+    test = Edits(edits)
+    probe = planted(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), probed)), "probe")
+    candidates = walked(probe, planted(F.transform(parts, kept), "index"), test, strings).distinct()
+    free_shuffles(strings.sparkSession)
     a = texts.select(F.col("item").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("item").alias("b"), F.col("text").alias("text_b"))
     both = candidates.join(a, "a").join(b, "b")

@@ -7,6 +7,7 @@ a temporary folder.  On a cluster an unset folder is an error, since a machine-l
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -52,6 +53,21 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files behind what has been written; else they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_tables(*paths: str) -> None:
+    """Delete single tables that nothing reads any more, and the shuffle files behind them."""
+    for spark, path, table in [w for w in _WRITTEN if w[1] in paths]:
+        _WRITTEN.remove((spark, path, table))
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        free_shuffles(spark)
+
+
 def drop_scratch(everything: bool = False) -> None:
     """Delete the tables written here; results that still read them become unreadable.  Call it when a query's result is stored."""
     for written in (_WRITTEN, _KEPT) if everything else (_WRITTEN,):
