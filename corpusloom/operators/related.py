@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.scratch import cut, new_path
+from corpusloom.operators import cosine
+from corpusloom.scratch import cut, free_shuffles, new_path
 
 # Name and version of this provider of related records.
 PROVIDER = ("lexical-tfidf", "1")
@@ -24,34 +25,33 @@ def weights(texts: DataFrame, key: str, records: int, word: str = "[a-z][a-z]+")
     return raw.join(norm, key).select(key, "token", (F.col("raw") / F.col("norm")).alias("w"))
 
 
-def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25) -> DataFrame:
+def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25, block: int = 2048, rows_at_once: int = 4096) -> DataFrame:
     """(src, dst, same_group, rank, score): for each query record the ``k`` most similar of its own group and of the others.
 
-    ``queries`` is a condition on ``key`` that picks the query records; all records are searched.  First only the rarer tokens
-    of a query meet the records: the commonest are left out as long as all that they can add, which is their weights times the
-    greatest weights that any record gives them, stays below an eighth of the floor.  A record whose part and that bound are below
-    ``floor`` together cannot reach it.  The rest get their full cosine, rounded to 6 digits; ties go to the least key.
-    Nothing is capped.
+    ``queries`` is a condition on ``key``, a whole number, that picks the query records, or None for all; all records are searched.
+    Records of equal text and group are one node with all their keys, so only different texts meet.  Nodes are written once to
+    the shared folder as counts of numbered tokens; a task takes a block of them as queries, reads all in lots and keeps each
+    query's best: tokens of a thirtieth of the records meet as a matrix product, the others by token.  All that can be among the
+    ``k`` best by these sums in single precision and their error bound gets its full cosine, rounded to 6 digits; ties go to the
+    least key.  Pairs are neither moved nor written.  Nothing is capped.
     """
-    all_ = cut(weights(texts, key, records), "weights")
-    asked = all_.where(queries).withColumnsRenamed({key: "src", "w": "wa"})
-    rows = all_.withColumnsRenamed({key: "dst", "w": "wb"})
-    most = all_.groupBy("token").agg(F.max("w").alias("most"), F.count(F.lit(1)).alias("df"))
-    behind = Window.partitionBy("src").orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)
-    # all that the tokens up to this one can add: by their greatest weights, and by their length
-    adds = F.least(F.sum(F.col("wa") * F.col("most")).over(behind), F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(behind)))
-    bound = cut(asked.join(most, "token").withColumn("adds", adds).select("src", "token", "wa", "adds"), "bounds")
-    lead = bound.where(F.col("adds") >= floor / 8)
-    rest = bound.groupBy("src").agg(F.coalesce(F.max(F.when(F.col("adds") < floor / 8, F.col("adds"))), F.lit(0.0)).alias("rest"))
-    part = lead.select("src", "token", "wa").join(rows, "token").where("src <> dst").groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("part"))
-    pairs = part.join(rest, "src").where(F.col("part") + F.col("rest") >= floor - 1e-6).select("src", "dst")
-    dots = pairs.join(asked.select("src", "token", "wa"), "src").join(rows, ["dst", "token"]).groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    scored = dots.select("src", "dst", F.round("dot", 6).alias("score")).where(F.col("score") >= floor)
-    names = texts.select(key, group)
-    scored = scored.join(names.select(F.col(key).alias("src"), F.col(group).alias("__a")), "src").join(names.select(F.col(key).alias("dst"), F.col(group).alias("__b")), "dst")
-    scored = scored.withColumn("same_group", F.col("__a").eqNullSafe(F.col("__b")))
-    order = Window.partitionBy("src", "same_group").orderBy(F.desc("score"), "dst")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "dst", "same_group", "rank", "score")
+    spark = texts.sparkSession
+    asks = F.col(key) if queries is None else F.when(F.expr(queries), F.col(key))
+    texts = cut(texts.select(F.col(key).cast("long").alias("key"), asks.cast("long").alias("asks"), F.col(group).cast("string").alias("grp"), "text"), "texts")
+    free_shuffles(spark)
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z]+"), F.lit(0))
+    df = texts.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dictionary, path = new_path(spark, "dictionary"), new_path(spark, "nodes")
+    df.where("df > 1").write.parquet(dictionary)
+    hashed = texts.select("key", "asks", "grp", F.unhex(F.sha2("text", 256)).alias("text"), tokens.alias("tokens")).where("key is not null and size(tokens) > 0")
+    counted = hashed.mapInArrow(cosine.counted(dictionary), "key long, asks long, grp string, text binary, vector binary, tokens int")
+    same = counted.groupBy("text", "grp").agg(F.sort_array(F.collect_list("key")).alias("keys"), F.sort_array(F.collect_list("asks")).alias("asks"), F.first("vector").alias("vector"), F.first("tokens").alias("tokens"))
+    same.drop("text").write.parquet(path)
+    free_shuffles(spark)
+    nodes, longest = spark.read.schema("tokens int").parquet(path).agg(F.count("tokens"), F.coalesce(F.max("tokens"), F.lit(0))).first()
+    blocks = max(1, -(-nodes // block))
+    search = cosine.nearest(dictionary, path, records, longest, k, floor, block, rows_at_once)
+    return spark.range(0, blocks, 1, blocks).mapInArrow(search, "src long, dst long, same_group boolean, rank int, score double")
 
 
 def indexed(suggestions: DataFrame, provider: tuple[str, str] = PROVIDER) -> DataFrame:
