@@ -258,15 +258,16 @@ _WEIGHTS = f"""
     df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
     raw AS (SELECT unit_key, token, (1 + ln(tf)) * (ln(((SELECT count(*) FROM u) + 1) / (df + 1)) + 1) AS raw FROM tf JOIN df USING (token)),
     w AS (SELECT unit_key, token, raw / sqrt(sum(raw * raw) OVER (PARTITION BY unit_key)) AS w FROM raw),
-    scored AS (SELECT a.unit_key AS src, b.unit_key AS dst, round(sum(a.w * b.w), 6) AS score FROM w a JOIN w b ON a.token = b.token AND a.unit_key <> b.unit_key WHERE a.unit_key % 50 = 0 GROUP BY ALL HAVING score >= 0.25),
+    scored AS (SELECT a.unit_key AS src, b.unit_key AS dst, round(sum(a.w * b.w), 6) AS score FROM w a JOIN w b ON a.token = b.token AND a.unit_key <> b.unit_key GROUP BY ALL HAVING score >= 0.25),
     top AS (SELECT src, dst, x.layer = y.layer AS same_group, score, row_number() OVER (PARTITION BY src, x.layer = y.layer ORDER BY score DESC, dst) AS rank
       FROM scored JOIN u x ON x.unit_key = src JOIN u y ON y.unit_key = dst QUALIFY rank <= 5)
 """
+_SOME = _WEIGHTS.replace("a.unit_key <> b.unit_key", "a.unit_key <> b.unit_key WHERE a.unit_key % 50 = 0")
 
 
-def _related(spark, folder):
+def _related(spark, folder, queries=None):
     texts = _unit_texts(spark, folder).select("unit_key", "layer", "text")
-    return related.related(texts, "unit_key", "layer", "unit_key % 50 = 0", texts.count())
+    return related.related(texts, "unit_key", "layer", queries, texts.count())
 
 
 @REGISTRY.add("tfidf_related_topk", _WEIGHTS + "SELECT src, dst, same_group, rank, score FROM top")
@@ -274,14 +275,14 @@ def tfidf_related_topk(spark, folder):
     return _related(spark, folder)
 
 
-@REGISTRY.add("related_index", _WEIGHTS + "SELECT src, dst, same_group, rank, score, 'lexical-tfidf' AS provider_id, '1' AS provider_version FROM top")
+@REGISTRY.add("related_index", _SOME + "SELECT src, dst, same_group, rank, score, 'lexical-tfidf' AS provider_id, '1' AS provider_version FROM top")
 def related_index(spark, folder):
     """The suggestions as a provider gives them: with its name and version in every row."""
-    return related.indexed(_related(spark, folder))
+    return related.indexed(_related(spark, folder, "unit_key % 50 = 0"))
 
 
 @REGISTRY.add("related_minus_explicit", f"""
-    SELECT src, dst, score FROM ({_WEIGHTS} SELECT src, dst, score FROM top) WHERE NOT EXISTS (
+    SELECT src, dst, score FROM ({_SOME} SELECT src, dst, score FROM top) WHERE NOT EXISTS (
       SELECT 1 FROM ({_REFS} SELECT * FROM refs) r JOIN (SELECT DISTINCT unit_key, layer, citation FROM units) x
         ON x.layer || ' ' || x.citation = CASE r.kind WHEN 'section' THEN 'cfr 14 CFR § ' WHEN 'paragraph' THEN 'aim AIM ' END || r.target
       WHERE r.unit_key = src AND x.unit_key = dst)""")
@@ -293,14 +294,14 @@ def related_minus_explicit(spark, folder):
     sections = units.select(F.lit("section").alias("kind"), number("cfr", r"^14 CFR § ([0-9]+[a-z]?\.[0-9]+[a-z]?)$").alias("target"), "dst")
     paragraphs = units.select(F.lit("paragraph").alias("kind"), number("aim", _PARAGRAPH).alias("target"), "dst")
     linked = _refs(spark, folder).withColumnRenamed("unit_key", "src").join(sections.unionByName(paragraphs).where("target <> ''"), ["kind", "target"])
-    return links.without(_related(spark, folder), linked, "src", "dst").select("src", "dst", "score")
+    return links.without(_related(spark, folder, "unit_key % 50 = 0"), linked, "src", "dst").select("src", "dst", "score")
 
 
-@REGISTRY.add("review_filter", _WEIGHTS + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = src AND l_partkey = dst)")
+@REGISTRY.add("review_filter", _SOME + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = src AND l_partkey = dst)")
 def review_filter(spark, folder):
     """Suggestions without those that a review rejects; lineitem stands for the table of verdicts (order: source, part: target, flag: verdict)."""
     verdicts = load(spark, folder, "lineitem", F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("verdict"))
-    return links.reviewed(_related(spark, folder), verdicts, "R").select("src", "dst", "score")
+    return links.reviewed(_related(spark, folder, "unit_key % 50 = 0"), verdicts, "R").select("src", "dst", "score")
 
 
 @REGISTRY.add("vector_topk", """

@@ -1,13 +1,17 @@
-"""Related records: all pairs meet inside of tasks."""
+"""Related records: all pairs meet inside of tasks, and every record of the table asks."""
 
 import math
 import re
 from collections import Counter
 
 import pytest
+from compare import DATA
 
+import __spark_entry__ as entry
 from corpusloom.operators import related
 
+SMALL = DATA / "sf0.001"
+
 
 def by_hand(data, k, floor, asks=lambda key: True):
     counts = {key: Counter(re.findall("[a-z][a-z]+", text.lower())) for key, _, text in data if key is not None and text}
@@ -52,3 +56,16 @@ def test_pairs_are_not_moved(spark):
     df = spark.createDataFrame(made(), "k long, g string, text string")
     plan = related.related(df, "k", "g", "k % 5 = 0", 160)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def units(spark):
+    rows = spark.read.parquet(f"{SMALL}/units.parquet").dropDuplicates(["unit_key"]).collect()
+    return [(r.unit_key, r.layer, "\n".join(t for t in [r.heading, *(r.texts or [])] if t is not None)) for r in rows]
+
+
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_every_unit_asks_for_related_units(spark):
+    want = by_hand(units(spark), 5, 0.25)
+    got = entry.queries()["tfidf_related_topk"](spark, str(SMALL)).select("src", "dst", "same_group", "rank", "score").collect()
+    assert sorted((*r[:4], round(r[4], 6)) for r in got) == want
+    assert {r[0] % 50 for r in got} == set(range(50))
