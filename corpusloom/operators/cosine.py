@@ -141,7 +141,7 @@ class _Block:
         k, rows, columns = self.k, *part.shape
         bound = self.least[own, r0 : r0 + rows].astype(np.float32)[:, None]
         mask = part >= bound
-        if columns > k and np.count_nonzero(mask) > 16 * k * rows:
+        if columns > k and np.count_nonzero(mask) > 2 * k * rows:
             mask = part >= np.maximum(bound, np.partition(part, columns - k, axis=1)[:, columns - k, None] - np.float32(2 * self.error))
         i, j = np.divmod(np.flatnonzero(mask), columns)
         i, j = i + r0, j + x0

@@ -25,7 +25,7 @@ def weights(texts: DataFrame, key: str, records: int, word: str = "[a-z][a-z]+")
     return raw.join(norm, key).select(key, "token", (F.col("raw") / F.col("norm")).alias("w"))
 
 
-def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25, block: int = 2048, rows_at_once: int = 4096) -> DataFrame:
+def related(texts: DataFrame, key: str, group: str, queries, records: int, k: int = 5, floor: float = 0.25, block: int | None = None, rows_at_once: int = 4096) -> DataFrame:
     """(src, dst, same_group, rank, score): for each query record the ``k`` most similar of its own group and of the others.
 
     ``queries`` is a condition on ``key``, a whole number, that picks the query records, or None for all; all records are searched.
@@ -49,6 +49,7 @@ def related(texts: DataFrame, key: str, group: str, queries, records: int, k: in
     same.drop("text").write.parquet(path)
     free_shuffles(spark)
     nodes, longest = spark.read.schema("tokens int").parquet(path).agg(F.count("tokens"), F.coalesce(F.max("tokens"), F.lit(0))).first()
+    block = block or min(4608, max(256, -(-nodes // 24)))  # large blocks read all others less often
     blocks = max(1, -(-nodes // block))
     search = cosine.nearest(dictionary, path, records, longest, k, floor, block, rows_at_once)
     return spark.range(0, blocks, 1, blocks).mapInArrow(search, "src long, dst long, same_group boolean, rank int, score double")
