@@ -69,3 +69,11 @@ def test_every_unit_asks_for_related_units(spark):
     got = entry.queries()["tfidf_related_topk"](spark, str(SMALL)).select("src", "dst", "same_group", "rank", "score").collect()
     assert sorted((*r[:4], round(r[4], 6)) for r in got) == want
     assert {r[0] % 50 for r in got} == set(range(50))
+
+
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_index_has_every_unit(spark):
+    want = by_hand(units(spark), 5, 0.25)
+    got = entry.queries()["related_index"](spark, str(SMALL)).collect()
+    assert sorted((r.src, r.dst, r.same_group, r["rank"], round(r.score, 6)) for r in got) == want
+    assert {(r.provider_id, r.provider_version) for r in got} == {related.PROVIDER}
