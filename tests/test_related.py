@@ -77,3 +77,17 @@ def test_index_has_every_unit(spark):
     got = entry.queries()["related_index"](spark, str(SMALL)).collect()
     assert sorted((r.src, r.dst, r.same_group, r["rank"], round(r.score, 6)) for r in got) == want
     assert {(r.provider_id, r.provider_version) for r in got} == {related.PROVIDER}
+
+
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_every_unit_keeps_what_it_does_not_cite(spark):
+    queries = entry.queries()
+    rows = spark.read.parquet(f"{SMALL}/units.parquet").select("unit_key", "layer", "citation").distinct().collect()
+    keys = {(r.layer, r.citation): set() for r in rows}
+    for r in rows:
+        keys[r.layer, r.citation].add(r.unit_key)
+    forms = {"section": ("cfr", "14 CFR § "), "paragraph": ("aim", "AIM ")}
+    cited = {(r.unit_key, key) for r in queries["explicit_refs"](spark, str(SMALL)).collect() if r.kind in forms for key in keys.get((forms[r.kind][0], forms[r.kind][1] + r.target), ())}
+    want = sorted((a, b, s) for a, b, _, _, s in by_hand(units(spark), 5, 0.25) if (a, b) not in cited)
+    got = queries["related_minus_explicit"](spark, str(SMALL)).collect()
+    assert sorted((r.src, r.dst, round(r.score, 6)) for r in got) == want
