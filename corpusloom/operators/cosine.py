@@ -1,8 +1,9 @@
 """All cosines of token counts that can be among the best: blocks of nodes against all nodes, in the tasks that ask.
 
 A node is a text with the keys of all records that have it.  Nodes and the tokens of more than one record lie in the shared
-folder; the place of a token by falling number of records is its number.  A node's vector is int32: how many of its tokens
-are shared, their numbers in order, then the counts of all its tokens, those of other tokens last.
+folder; the place of a token by falling number of records is its number.  A node's vector is a run of numbers in bytes of 7
+bits: how many of its tokens are shared, the steps between their numbers in order, then the counts of all its tokens, those
+of other tokens last.
 """
 
 from __future__ import annotations
@@ -21,6 +22,30 @@ def _tokens(path: str):
     return _open(path).to_table(columns=["token", "df"]).sort_by([("df", "descending"), ("token", "ascending")])
 
 
+def packed(numbers):
+    """Numbers of at least 0 in bytes of 7 bits, the lowest first; all but the last byte of a number have the top bit.  Also how many bytes each takes."""
+    import numpy as np
+
+    numbers = np.asarray(numbers, np.int64)
+    used = 1 + sum((numbers >= 1 << 7 * i).astype(np.int64) for i in range(1, 5))
+    ends = np.cumsum(used)
+    row = np.repeat(np.arange(len(numbers)), used)
+    within = np.arange(len(row)) - (ends - used)[row]
+    return ((numbers[row] >> 7 * within & 127) | np.where(within < used[row] - 1, 128, 0)).astype(np.uint8), used
+
+
+def unpacked(data):
+    """The numbers of packed bytes, and the place behind the last byte of each."""
+    import numpy as np
+
+    ends = np.flatnonzero(data < 128) + 1
+    if len(ends) == len(data):
+        return data.astype(np.int64), ends
+    starts = np.concatenate([[0], ends[:-1]])
+    within = np.arange(len(data)) - np.repeat(starts, ends - starts)
+    return np.add.reduceat((data & 127).astype(np.int64) << 7 * within, starts), ends
+
+
 def counted(dictionary: str):
     """For mapInArrow: batches of (key, asks, grp, text, tokens) with their tokens as ``vector`` and the number of different ones."""
 
@@ -31,6 +56,8 @@ def counted(dictionary: str):
 
         known = _tokens(dictionary).column("token").combine_chunks()
         for batch in batches:
+            if not batch.num_rows:
+                continue
             tokens = batch.column("tokens")
             sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0))
             flat = tokens.flatten().dictionary_encode()
@@ -41,8 +68,12 @@ def counted(dictionary: str):
             row, number = np.divmod(cells, width)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
             shared = np.bincount(row[number < len(known)], minlength=batch.num_rows)
-            vectors = [np.concatenate([[s], number[a : a + s], tf[a:b]]).astype(np.int32).tobytes() for a, b, s in zip(ends[:-1], ends[1:], shared, strict=True)]
-            made = [pa.array(vectors, pa.binary()), pa.array(np.diff(ends), pa.int32())]
+            step = np.diff(number, prepend=0)
+            step[ends[:-1][shared > 0]] = number[ends[:-1][shared > 0]]
+            parts = [np.concatenate([[s], step[a : a + s], tf[a:b]]) for a, b, s in zip(ends[:-1], ends[1:], shared, strict=True)]
+            data, used = packed(np.concatenate(parts))
+            until = np.cumsum(used)[np.cumsum([len(p) for p in parts]) - 1]
+            made = [pa.array([data[a:b].tobytes() for a, b in zip([0, *until[:-1]], until, strict=True)], pa.binary()), pa.array(np.diff(ends), pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("key", "asks", "grp", "text")] + made, names=["key", "asks", "grp", "text", "vector", "tokens"])
 
     return count
@@ -59,13 +90,15 @@ class _Lot:
         order = np.argsort(code, kind="stable")
         self.table, self.code, self.places, self.n = table.take(order), code[order], places[order], table.num_rows
         vector = self.table.column("vector").combine_chunks()
-        at = np.frombuffer(vector.buffers()[1], np.int32)[vector.offset : vector.offset + self.n + 1].astype(np.int64) // 4
-        data = np.frombuffer(vector.buffers()[2], np.int32)
-        shared = data[at[:-1]].astype(np.int64)
+        bounds = np.frombuffer(vector.buffers()[1], np.int32)[vector.offset : vector.offset + self.n + 1].astype(np.int64)
+        data, until = unpacked(np.frombuffer(vector.buffers()[2], np.uint8)[bounds[0] : bounds[-1]])
+        at = np.searchsorted(until, bounds - bounds[0], side="right")
+        shared = data[at[:-1]]
         total = np.diff(at) - 1 - shared
         self.starts, ends = np.concatenate([[0], np.cumsum(shared)]), np.concatenate([[0], np.cumsum(total)])
         self.row, of = np.repeat(np.arange(self.n), shared), np.repeat(np.arange(self.n), total)
-        self.number = data[np.arange(len(self.row)) - self.starts[self.row] + at[self.row] + 1].astype(np.int64)
+        steps = np.cumsum(np.concatenate([[0], data[np.arange(len(self.row)) - self.starts[self.row] + at[self.row] + 1]]))
+        self.number = steps[1:] - steps[self.starts[self.row]]
         within = np.arange(len(of)) - ends[of]
         raw = 1 + np.log(data[within + (at[:-1] + 1 + shared)[of]])
         known = within < shared[of]

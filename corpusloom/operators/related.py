@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import cosine
-from corpusloom.scratch import cut, free_shuffles, new_path
+from corpusloom.scratch import drop_tables, free_shuffles, new_path
 
 # Name and version of this provider of related records.
 PROVIDER = ("lexical-tfidf", "1")
@@ -37,17 +37,18 @@ def related(texts: DataFrame, key: str, group: str, queries, records: int, k: in
     """
     spark = texts.sparkSession
     asks = F.col(key) if queries is None else F.when(F.expr(queries), F.col(key))
-    texts = cut(texts.select(F.col(key).cast("long").alias("key"), asks.cast("long").alias("asks"), F.col(group).cast("string").alias("grp"), "text"), "texts")
+    dictionary, path, once = (new_path(spark, name) for name in ("dictionary", "nodes", "texts"))
+    texts.select(F.col(key).cast("long").alias("key"), asks.cast("long").alias("asks"), F.col(group).cast("string").alias("grp"), "text").write.parquet(once)
+    texts = spark.read.schema("key long, asks long, grp string, text string").parquet(once)
     free_shuffles(spark)
     tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z]+"), F.lit(0))
     df = texts.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    dictionary, path = new_path(spark, "dictionary"), new_path(spark, "nodes")
     df.where("df > 1").write.parquet(dictionary)
     hashed = texts.select("key", "asks", "grp", F.unhex(F.sha2("text", 256)).alias("text"), tokens.alias("tokens")).where("key is not null and size(tokens) > 0")
     counted = hashed.mapInArrow(cosine.counted(dictionary), "key long, asks long, grp string, text binary, vector binary, tokens int")
     same = counted.groupBy("text", "grp").agg(F.sort_array(F.collect_list("key")).alias("keys"), F.sort_array(F.collect_list("asks")).alias("asks"), F.first("vector").alias("vector"), F.first("tokens").alias("tokens"))
     same.drop("text").write.parquet(path)
-    free_shuffles(spark)
+    drop_tables(once)
     nodes, longest = spark.read.schema("tokens int").parquet(path).agg(F.count("tokens"), F.coalesce(F.max("tokens"), F.lit(0))).first()
     block = block or min(4608, max(256, -(-nodes // 24)))  # large blocks read all others less often
     blocks = max(1, -(-nodes // block))

@@ -8,7 +8,7 @@ import pytest
 from compare import DATA
 
 import __spark_entry__ as entry
-from corpusloom.operators import related
+from corpusloom.operators import cosine, related
 
 SMALL = DATA / "sf0.001"
 
@@ -91,3 +91,11 @@ def test_every_unit_keeps_what_it_does_not_cite(spark):
     want = sorted((a, b, s) for a, b, _, _, s in by_hand(units(spark), 5, 0.25) if (a, b) not in cited)
     got = queries["related_minus_explicit"](spark, str(SMALL)).collect()
     assert sorted((r.src, r.dst, round(r.score, 6)) for r in got) == want
+
+
+def test_packed_numbers_come_back():
+    numbers = [0, 1, 127, 128, 16_383, 16_384, 5, 2**31 - 1, 0]
+    data, used = cosine.packed(numbers)
+    got, until = cosine.unpacked(data)
+    assert got.tolist() == numbers and until.tolist() == used.cumsum().tolist() and len(data) == 17
+    assert cosine.unpacked(cosine.packed([3, 0, 9])[0])[0].tolist() == [3, 0, 9]
