@@ -262,12 +262,11 @@ _WEIGHTS = f"""
     top AS (SELECT src, dst, x.layer = y.layer AS same_group, score, row_number() OVER (PARTITION BY src, x.layer = y.layer ORDER BY score DESC, dst) AS rank
       FROM scored JOIN u x ON x.unit_key = src JOIN u y ON y.unit_key = dst QUALIFY rank <= 5)
 """
-_SOME = _WEIGHTS.replace("a.unit_key <> b.unit_key", "a.unit_key <> b.unit_key WHERE a.unit_key % 50 = 0")
 
 
-def _related(spark, folder, queries=None):
+def _related(spark, folder):
     texts = _unit_texts(spark, folder).select("unit_key", "layer", "text")
-    return related.related(texts, "unit_key", "layer", queries, texts.count())
+    return related.related(texts, "unit_key", "layer", None, texts.count())
 
 
 @REGISTRY.add("tfidf_related_topk", _WEIGHTS + "SELECT src, dst, same_group, rank, score FROM top")
@@ -297,11 +296,11 @@ def related_minus_explicit(spark, folder):
     return links.without(_related(spark, folder), linked, "src", "dst").select("src", "dst", "score")
 
 
-@REGISTRY.add("review_filter", _SOME + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = src AND l_partkey = dst)")
+@REGISTRY.add("review_filter", _WEIGHTS + "SELECT src, dst, score FROM top WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = src AND l_partkey = dst)")
 def review_filter(spark, folder):
     """Suggestions without those that a review rejects; lineitem stands for the table of verdicts (order: source, part: target, flag: verdict)."""
     verdicts = load(spark, folder, "lineitem", F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("verdict"))
-    return links.reviewed(_related(spark, folder, "unit_key % 50 = 0"), verdicts, "R").select("src", "dst", "score")
+    return links.reviewed(_related(spark, folder), verdicts, "R").select("src", "dst", "score")
 
 
 @REGISTRY.add("vector_topk", """

@@ -93,6 +93,15 @@ def test_every_unit_keeps_what_it_does_not_cite(spark):
     assert sorted((r.src, r.dst, round(r.score, 6)) for r in got) == want
 
 
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_every_unit_is_reviewed(spark):
+    reviews = spark.read.parquet(f"{SMALL}/lineitem.parquet").where("l_returnflag = 'R'").select("l_orderkey", "l_partkey").distinct().collect()
+    rejected = {(r.l_orderkey, r.l_partkey) for r in reviews}
+    want = sorted((a, b, s) for a, b, _, _, s in by_hand(units(spark), 5, 0.25) if (a, b) not in rejected)
+    got = entry.queries()["review_filter"](spark, str(SMALL)).collect()
+    assert sorted((r.src, r.dst, round(r.score, 6)) for r in got) == want
+
+
 def test_packed_numbers_come_back():
     numbers = [0, 1, 127, 128, 16_383, 16_384, 5, 2**31 - 1, 0]
     data, used = cosine.packed(numbers)
